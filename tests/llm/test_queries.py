@@ -1,0 +1,22 @@
+import pytest
+
+from comparing import DATA, same
+from weftline.llm import queries as llm
+
+SQL = llm.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_same_as_sql(spark, name):
+    same(spark, name, llm.queries()[name], SQL[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(llm.queries()) - set(SQL)))
+def test_runs_over_whole_tables(spark, name):
+    assert llm.queries()[name](spark, DATA).count() > 0
+
+
+def test_found_columns(spark):
+    want = {"p1_found": ["field", "record_id"], "p2_found": ["field", "record_id", "ref_id"], "p3_found": ["line_id"], "p4_found": ["job_index"], "p5_found": ["field", "term", "mark"], "p6_found": ["skill_a", "skill_b"], "p7_found": ["field", "job_index", "term"], "p10_found": ["doc_id"]}
+    for name, columns in want.items():
+        assert llm.queries()[name](spark, DATA).columns == columns

@@ -58,7 +58,8 @@ def compatibility() -> tuple[dict[str, str], dict[str, str]]:
         plain = "".join(" " if unicodedata.category(x) == "Zs" else x for x in plain)
         if plain != c:
             (single if len(plain) == 1 else several)[c] = plain
-    single[" "] = " "  # the one space separator without a compatibility form
+    single["\u1680"] = " "  # the one space separator without a compatibility form
+    single["\u2011"] = "-"  # the non-breaking hyphen looks like the hyphen that is typed
     return single, several
 
 

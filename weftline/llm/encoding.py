@@ -10,7 +10,7 @@ Nothing of corpus size is held anywhere: word counts come from all documents by
 token is read once, candidate words meet their counts in a join, and the evidence meets the documents in another,
 broadcast only if its counted rows are few. Per document only tokens with evidence are gathered.
 
-Tokens are runs of ASCII letters, digits and non-ASCII characters that hold at least one of the latter; texts of any length
+Documents without an id are left out; several texts of one id are decided each for itself. Tokens are runs of ASCII letters, digits and non-ASCII characters that hold at least one of the latter; texts of any length
 are read whole. Null and ASCII texts are no cases. Every U+FFFD is a lost character: its document is found even if no
 word fits. Box drawings, rare signs and correct text in any script have better readings as they are.
 """
@@ -30,7 +30,8 @@ from weftline.llm.common import require
 from weftline.session import cut
 
 LOST = "�"
-TOKEN = r"([A-Za-z0-9]*[^\x00-\x7F][A-Za-z0-9\x{80}-\x{10FFFF}]*)"
+# A run is entered at its start only and never given back, so a text is read once.
+TOKEN = r"((?<![A-Za-z0-9\x{80}-\x{10FFFF}])[A-Za-z0-9]*+[^\x00-\x7F][A-Za-z0-9\x{80}-\x{10FFFF}]*+)"
 UNIT = re.compile(r"[^\W\d_]+|[^\x00-\x7f]")
 
 # Which encodings are taken for which; as read first, as written second.
@@ -54,7 +55,7 @@ BYTE_PAIRS = (
 )
 SURE = ("utf-8 as latin-1", "utf-8 as cp1252")  # their byte sequences hardly occur in correct text
 UNKNOWN = 0.05  # count of a word that the corpus doesn't have
-STRANGER = 6.0  # further cost of such a word under the other channels
+STRANGER = 6.0  # further cost of such a word under the other channels, and of an odd token as it is
 ENTER, LEAVE = 3.0, 1.0  # costs of leaving correct text for a channel, and of returning
 BROADCAST_ROWS = 200_000  # of evidence, a few hundred bytes each
 
@@ -178,17 +179,23 @@ def skeleton(text: str) -> str:
     return re.sub(rf"[^\x00-\x7f]+", LOST, text.lower())
 
 
+def foreign(documents: DataFrame) -> DataFrame:
+    """``doc_id, version, text`` of the documents with an id and a non-ASCII character; ``version`` tells texts of one id apart."""
+    require(documents, "doc_id", "text")
+    some = documents.where(F.col("doc_id").isNotNull() & (F.octet_length("text") > F.char_length("text")))
+    return some.select("doc_id", F.xxhash64("text").alias("version"), "text")
+
+
 def token_counts(documents: DataFrame) -> DataFrame:
     """``token, n`` over all documents: how often each non-ASCII token occurs."""
-    require(documents, "doc_id", "text")
-    some = documents.where(F.col("text").rlike(r"[^\x00-\x7F]"))
-    return some.select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN), 1)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return foreign(documents).select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN), 1)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
 def candidate_units(tokens: DataFrame) -> DataFrame:
     """``token, n, channel, reading, i, unit, damaged, doubtful`` per unit, of each reading and (channel '') of the token itself.
 
-    doubtful: a sure channel can read the token, so its words are none to restore others by.
+    doubtful: a sure channel can read the token, so its words are none to restore others by. odd: the token as it is has control
+    characters or a word of several scripts.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -199,10 +206,10 @@ def candidate_units(tokens: DataFrame) -> DataFrame:
                 doubtful = any(channel in SURE for channel, _ in others)
                 for channel, text in [("", token), *others]:
                     for i, u in enumerate(word_units(text) or [""]):
-                        rows.append((token, n, channel, text, i, u, LOST in u, doubtful))
-            yield pd.DataFrame(rows, columns=["token", "n", "channel", "reading", "i", "unit", "damaged", "doubtful"])
+                        rows.append((token, n, channel, text, i, u, LOST in u, doubtful, not channel and not plausible(text)))
+            yield pd.DataFrame(rows, columns=["token", "n", "channel", "reading", "i", "unit", "damaged", "doubtful", "odd"])
 
-    return tokens.mapInPandas(run, "token string, n bigint, channel string, reading string, i int, unit string, damaged boolean, doubtful boolean")
+    return tokens.mapInPandas(run, "token string, n bigint, channel string, reading string, i int, unit string, damaged boolean, doubtful boolean, odd boolean")
 
 
 _WORDS = re.compile(rf"[^\W\d_]*{LOST}[^\W\d_{LOST}]*(?:{LOST}[^\W\d_]*)*|[^\W\d_]+|[^\x00-\x7f]")
@@ -235,8 +242,8 @@ def evidence(documents: DataFrame) -> DataFrame:
     # a token's own occurrences say nothing for it being correct text
     stranger = F.when((known < 1) & (F.col("channel") != "") & ~F.col("channel").isin(*SURE) & (F.length("unit") > 0), F.lit(STRANGER)).otherwise(0.0)
     weight = F.when(F.col("unit") == "", 0.0).otherwise(F.log((known + UNKNOWN) / F.col("total")) - stranger)
-    scored = sized.groupBy("token", "channel", "reading").agg(F.sum(weight).alias("score"), F.max("damaged").alias("damaged"), F.transform(F.array_sort(F.collect_list(F.struct("i", "unit", "word", "damaged"))), lambda x: F.struct(x.unit, x.word)).alias("parts"))
-    as_is = scored.where("channel = ''").select("token", F.col("score").alias("base"), F.col("damaged").alias("lost"), F.col("parts").alias("own_parts"))
+    scored = sized.groupBy("token", "channel", "reading").agg(F.sum(weight).alias("score"), F.max("damaged").alias("damaged"), F.max("odd").alias("odd"), F.transform(F.array_sort(F.collect_list(F.struct("i", "unit", "word", "damaged"))), lambda x: F.struct(x.unit, x.word)).alias("parts"))
+    as_is = scored.where("channel = ''").select("token", (F.col("score") - F.when(F.col("odd"), STRANGER).otherwise(0.0)).alias("base"), F.col("damaged").alias("lost"), F.col("parts").alias("own_parts"))
     others = scored.where("channel != ''").join(as_is.select("token", "base"), "token").withColumn("gain", F.col("score") - F.col("base"))
     hopeful = others.where(F.col("gain") > -2.0).groupBy("token").agg(F.collect_list(F.struct("channel", "reading", "gain", "parts")).alias("options"))
     lost = as_is.where("lost").select("token", "own_parts")
@@ -277,21 +284,21 @@ def viterbi(steps: list[dict[str, float]]) -> list[str]:
     return max(paths.values(), key=lambda x: x[0])[1]
 
 
-DECISIONS = "doc_id bigint, n_tokens int, n_garbled int, n_lost int, fixes array<struct<pos: int, reading: string, channel: string>>"
+DECISIONS = "doc_id bigint, version bigint, n_tokens int, n_garbled int, n_lost int, fixes array<struct<pos: int, reading: string, channel: string>>"
 
 
 def decide(documents: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, n_garbled, n_lost, fixes`` of the documents with garbled or lost tokens; ``pos`` counts a text's tokens."""
+    """``doc_id, version, n_tokens, n_garbled, n_lost, fixes`` of the documents with garbled or lost tokens; ``pos`` counts a text's tokens."""
     found = cut(evidence(documents))
     if found.count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
-    placed = documents.where(F.col("text").rlike(r"[^\x00-\x7F]")).select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(TOKEN), 1)).alias("pos", "token"))
-    met = placed.join(found, "token").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "token", "options", "lost", "own_parts")).alias("steps"))
+    placed = foreign(documents).select("doc_id", "version", F.posexplode(F.regexp_extract_all("text", F.lit(TOKEN), 1)).alias("pos", "token"))
+    met = placed.join(found, "token").groupBy("doc_id", "version").agg(F.collect_list(F.struct("pos", "token", "options", "lost", "own_parts")).alias("steps"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc_id, steps in zip(b["doc_id"], b["steps"]):
+            for doc_id, version, steps in zip(b["doc_id"], b["version"], b["steps"]):
                 steps = sorted(steps, key=lambda s: s["pos"])
                 gains = [{o["channel"]: o["gain"] for o in s["options"]} for s in steps]
                 path = viterbi(gains)
@@ -307,8 +314,8 @@ def decide(documents: DataFrame) -> DataFrame:
                         if new != s["token"]:
                             fixes.append({"pos": s["pos"], "reading": new, "channel": "lost"})
                 if garbled or lost:
-                    rows.append((doc_id, len(steps), garbled, lost, fixes))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "n_garbled", "n_lost", "fixes"])
+                    rows.append((doc_id, version, len(steps), garbled, lost, fixes))
+            yield pd.DataFrame(rows, columns=["doc_id", "version", "n_tokens", "n_garbled", "n_lost", "fixes"])
 
     return met.mapInPandas(run, DECISIONS)
 
@@ -316,8 +323,8 @@ def decide(documents: DataFrame) -> DataFrame:
 def restore(documents: DataFrame) -> DataFrame:
     """``doc_id, restored_text, n_garbled, n_lost, complete`` of the affected documents; complete if no U+FFFD is left."""
     fixes = decide(documents)
-    joined = documents.select("doc_id", "text").join(fixes, "doc_id")
-    token = re.compile(r"[A-Za-z0-9]*[^\x00-\x7F](?:[A-Za-z0-9]|[^\x00-\x7F])*")
+    joined = foreign(documents).distinct().join(fixes, ["doc_id", "version"])
+    token = re.compile(r"(?<![A-Za-z0-9\x80-\U0010FFFF])[A-Za-z0-9]*+[^\x00-\x7F][A-Za-z0-9\x80-\U0010FFFF]*+")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

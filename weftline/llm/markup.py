@@ -20,7 +20,7 @@ import html
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -344,13 +344,13 @@ def clean_markup(df: DataFrame, column: str, out: str = "clean_text") -> DataFra
     suspects = df.where(suspicious).select(*named, F.col(f"`{column}`").alias(out), F.array().cast("array<string>").alias(kinds), F.array().cast(BLOCKS).alias(blocks))
     plain = df.where(~suspicious).select(*named, F.col(f"`{column}`").alias(out), F.array().cast("array<string>").alias(kinds), F.array().cast(BLOCKS).alias(blocks))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [read_markup(x) for x in b[out]]
-            b[out], b[kinds], b[blocks] = [g[0] for g in got], [g[1] for g in got], [g[2] for g in got]
-            yield b
+            got = [read_markup(x) for x in b.column(len(rest)).to_pylist()]
+            kind = [b.schema.field(len(rest) + i).type for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], *[pa.array([g[i] for g in got], kind[i]) for i in range(3)]], names=b.schema.names)
 
-    return plain.unionByName(suspects.mapInPandas(run, suspects.schema))
+    return plain.unionByName(suspects.mapInArrow(run, suspects.schema))
 
 
 def clean_descriptions(descriptions: DataFrame) -> DataFrame:

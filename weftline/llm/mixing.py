@@ -27,6 +27,7 @@ from weftline.session import cut
 BUCKETS = 4096
 MEAN_WEIGHT = 0.7
 ROUNDS = 3
+TOLERANCE = 0.02
 
 
 def quality(text: Column) -> Column:
@@ -65,7 +66,7 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
 
     selection: ``doc_id, source, n_tokens, copies`` with copies of 1 to max_repeats.
     shares: ``source, target_share, actual_share, target_tokens, selected_tokens, available_tokens, epochs, max_repeats, n_docs, status``,
-    a row per target; status is 'met', 'capped' (max_repeats reached below the target) or 'empty'.
+    a row per target; status is 'met' (within TOLERANCE), 'capped' (max_repeats reached below the target), 'short' (what is left is longer than the gap) or 'empty'.
     A target with null share counts as 0, with null max_repeats as 1; of several rows of a source the first by share holds.
     """
     require(targets, "source", "target_share", "max_repeats")
@@ -99,6 +100,6 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     all_ = got.agg(F.sum("selected_tokens").alias("all_tokens"))
     full = plan.join(got, "source", "left").crossJoin(F.broadcast(all_))
     selected = F.coalesce("selected_tokens", F.lit(0))
-    status = F.when(F.col("available_tokens") == 0, "empty").when(F.col("target_tokens") > F.col("available_tokens") * F.col("max_repeats"), "capped").otherwise("met")
+    status = F.when(F.col("available_tokens") == 0, "empty").when(F.col("target_tokens") > F.col("available_tokens") * F.col("max_repeats"), "capped").when(selected < F.col("target_tokens") * (1 - TOLERANCE), "short").otherwise("met")
     shares = full.select("source", "target_share", F.coalesce(selected / F.nullif("all_tokens", F.lit(0)), F.lit(0.0)).alias("actual_share"), "target_tokens", selected.alias("selected_tokens"), "available_tokens", "epochs", "max_repeats", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), status.alias("status"))
     return selection, shares

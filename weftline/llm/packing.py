@@ -10,13 +10,13 @@ Only documents above a capacity are split: into full pieces, a container each, a
 Documents are hashed to shards of about ``SHARD_ITEMS`` items, whatever their source, and each shard is packed on its own:
 no group grows with the data, and a shard wastes at most its last container. Only sizes are shuffled, never text.
 
-Empty and null texts need no room; they are listed with bin_id null. A document whose own loss-bearing tokens exceed their limit
-has a container to itself. A doc_id that occurs on several rows is packed as often.
+Empty and null texts need no room; they are listed with bin_id null. A document whose own loss-bearing tokens exceed their limit uses
+it up: only documents that bear none join it. A doc_id that occurs on several rows is packed as often.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,32 +94,29 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, tokenizer: str =
     keyed = each.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("pack")), F.lit(shards)).cast("int"))
     spec = keyed.groupBy("container", "shard")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        capacity = int(pdf["capacity_tokens"].iloc[0])
-        ids, sizes, bears = pdf["doc_id"].tolist(), pdf["size"].tolist(), pdf["bears"].tolist()
-        shard = int(pdf["shard"].iloc[0])
-        rows, rest = [], []
-        full = 0
-        for i in sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0)):
-            size = sizes[i]
-            if not size:
+    def run(group: pa.Table) -> pa.Table:
+        capacity, container, shard = (group.column(c)[0].as_py() for c in ("capacity_tokens", "container", "shard"))
+        ids, sizes, bears = (group.column(c).to_pylist() for c in ("doc_id", "size", "bears"))
+        rows, rest, full = [], [], 0
+        for i in sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, sizes[i])):
+            if not sizes[i]:
                 rows.append((ids[i], 0, 0, 0, 0, None))
                 continue
-            whole, tail = divmod(size, capacity)
-            if not tail and size:
-                tail, whole = (capacity, whole - 1)
+            whole, tail = divmod(sizes[i] - 1, capacity)
+            tail += 1  # a remainder of 1 to capacity tokens is an item; the pieces before it are full
             for p in range(whole):
                 rows.append((ids[i], p, p * capacity, capacity, capacity if bears[i] else 0, f"{shard}-f{full}"))
                 full += 1
             rest.append((ids[i], whole, whole * capacity, tail, tail if bears[i] else 0))
         bins = pack([r[3] for r in rest], [r[4] for r in rest], capacity, max(1, capacity // TOKENS_PER_SEGMENT), max(1, int(capacity * loss_share)))
         rows.extend((*r, f"{shard}-{b}") for r, b in zip(rest, bins))
-        out = pd.DataFrame(rows, columns=["doc_id", "piece", "first_token", "n_tokens", "loss_tokens", "bin_id"])
-        out.insert(0, "capacity_tokens", capacity)
-        out.insert(0, "container", pdf["container"].iloc[0])
-        return out
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        names = ("doc_id", "piece", "first_token", "n_tokens", "loss_tokens", "bin_id")
+        head = {"container": pa.array([container] * len(rows), pa.string()), "capacity_tokens": pa.array([capacity] * len(rows), pa.int32())}
+        return pa.table(head | {n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
 
-    return spec.applyInPandas(run, "container string, capacity_tokens int, doc_id bigint, piece int, first_token bigint, n_tokens bigint, loss_tokens bigint, bin_id string")
+    return spec.applyInArrow(run, "container string, capacity_tokens int, doc_id bigint, piece int, first_token bigint, n_tokens bigint, loss_tokens bigint, bin_id string")
 
 
 def usage(packed: DataFrame) -> DataFrame:
