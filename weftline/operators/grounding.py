@@ -6,6 +6,8 @@ are one group; it is bounded by the job's own text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,24 +51,24 @@ def anchor(span: str, context: str, hint: str, lines: list[dict], used: set) ->
 def ground(mentions: DataFrame, lines: DataFrame) -> DataFrame:
     """GROUNDED rows for ``job_index, mention_idx, skill_span, context, section_hint``; mentions without a place are left out."""
 
-    def run(m: pd.DataFrame, ls: pd.DataFrame) -> pd.DataFrame:
-        ordered = ls.sort_values("line_index").to_dict("records")
-        used, rows = set(), []
-        for r in m.sort_values("mention_idx").to_dict("records"):
-            span = r["skill_span"] or ""
-            if not span.strip():
-                continue
-            got = anchor(span, r["context"] or "", r["section_hint"] or "General", ordered, used)
-            if got is None:
-                continue
-            line, at = ordered[got[0]], got[1]
-            end = at + len(span)
-            rows.append((r["job_index"], r["mention_idx"], line["line_id"], line["section"], line["boilerplate_label"], at, end, line["char_start"] + at, line["char_start"] + end, line["text"][at:end] == span))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in GROUNDED.split(", ")])
-
-    left = mentions.select("job_index", "mention_idx", "skill_span", "context", "section_hint").groupBy("job_index")
-    right = lines.select("job_index", "line_index", "line_id", "section", "boilerplate_label", "text", "char_start").groupBy("job_index")
-    return left.cogroup(right).applyInPandas(run, GROUNDED)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for job, ms, ls in zip(b["job_index"], b["ms"], b["ls"]):
+                used: set = set()
+                for r in ms:
+                    span = r["skill_span"] or ""
+                    got = anchor(span, r["context"] or "", r["section_hint"] or "General", ls, used) if span.strip() else None
+                    if got is None:
+                        continue
+                    line, at = ls[got[0]], got[1]
+                    end = at + len(span)
+                    rows.append((job, r["mention_idx"], line["line_id"], line["section"], line["boilerplate_label"], at, end, line["char_start"] + at, line["char_start"] + end, line["text"][at:end] == span))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in GROUNDED.split(", ")])
+
+    left = mentions.groupBy("job_index").agg(F.array_sort(F.collect_list(F.struct("mention_idx", "skill_span", "context", "section_hint"))).alias("ms"))
+    right = lines.groupBy("job_index").agg(F.array_sort(F.collect_list(F.struct("line_index", "line_id", "section", "boilerplate_label", "text", "char_start"))).alias("ls"))
+    return left.join(right, "job_index").mapInPandas(run, GROUNDED)
 
 
 def all_starts(text: Column, span: Column) -> Column:

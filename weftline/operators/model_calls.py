@@ -7,6 +7,7 @@ results should be written to a stage table before anything reads them twice.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import time
@@ -33,6 +34,11 @@ PROMPTS = {
 }
 
 
+@functools.lru_cache(16)
+def any_of(terms: tuple[str, ...]) -> re.Pattern:
+    return re.compile(rf"(?i)(?<!\w)(?:{'|'.join(re.escape(t) for t in sorted(terms, key=lambda t: (-len(t), t)))})(?!\w)")
+
+
 @dataclass
 class StubBackend:
     """Deterministic replies from a vocabulary, as a model might give them; no network."""
@@ -48,11 +54,11 @@ class StubBackend:
         confidence = round(0.5 + h % 50 / 100, 2)
         if role == "extract":
             text, found = values["text"], []
-            for term in self.vocabulary:
-                for m in re.finditer(rf"(?i)(?<!\w){re.escape(term)}(?!\w)", text):
-                    line = text[text.rfind("\n", 0, m.start()) + 1 :].split("\n", 1)[0]
-                    found.append((m.start(), {"skill_span": m[0], "context": line, "section": "General", "normalized_skill": term, "evidence": line, "confidence": confidence, "requirement": "unclear", "hard_soft": "hard"}))
-            return "```json\n" + json.dumps({"mentions": [x for _, x in sorted(found, key=lambda f: f[0])]}, ensure_ascii=False) + "\n```"
+            names = {t.lower(): t for t in self.vocabulary}
+            for m in any_of(self.vocabulary).finditer(text) if self.vocabulary else ():
+                line = text[text.rfind("\n", 0, m.start()) + 1 :].split("\n", 1)[0]
+                found.append({"skill_span": m[0], "context": line, "section": "General", "normalized_skill": names.get(m[0].lower(), m[0]), "evidence": line, "confidence": confidence, "requirement": "unclear", "hard_soft": "hard"})
+            return "```json\n" + json.dumps({"mentions": found}, ensure_ascii=False) + "\n```"
         if role == "verify":
             return json.dumps({"is_skill": h % 10 != 0, "confidence": confidence, "evidence": values["span"], "notes": ""})
         if role == "requirement":

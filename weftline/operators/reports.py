@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.text import strip
+from weftline.functions.text import half_up, strip
 
 # Class bounds of the reports.
 MENTION_CLASSES = ((0, 0), (1, 10), (11, 20), (21, 30), (31, 50), (51, 100), (101, None))
@@ -93,14 +93,14 @@ def top_values(df: DataFrame, column: str, k: int = 30) -> DataFrame:
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
     total = df.where(F.col(column).isNotNull()).agg(F.count("*").alias("total"))
     top = counts.orderBy(F.desc("n"), "value").limit(k).crossJoin(F.broadcast(total))
-    return top.select("value", "n", F.round(100 * F.col("n") / F.col("total"), 4).alias("share"), F.row_number().over(Window.orderBy(F.desc("n"), "value")).alias("rank"))
+    return top.select("value", "n", half_up(100 * F.col("n") / F.col("total")).alias("share"), F.row_number().over(Window.orderBy(F.desc("n"), "value")).alias("rank"))
 
 
 def field_frequency(df: DataFrame, columns: list[str]) -> DataFrame:
     """``field, n_present, share``: how many rows have a value in each column, in one pass."""
     one = df.agg(F.count("*").alias("total"), *[F.count(c).alias(f"c_{c}") for c in columns])
     rows = one.select("total", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"c_{c}").alias("n_present")) for c in columns])).alias("f"))
-    return rows.select("f.field", "f.n_present", F.round(100 * F.col("f.n_present") / F.greatest("total", F.lit(1)), 4).alias("share"))
+    return rows.select("f.field", "f.n_present", half_up(100 * F.col("f.n_present") / F.greatest("total", F.lit(1))).alias("share"))
 
 
 def distribution(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -156,7 +156,7 @@ def top_overlap(a: DataFrame, b: DataFrame, column: str, k: int = 100) -> DataFr
 
 def call_stats(calls: DataFrame, by: list) -> DataFrame:
     """``calls, wall, tokens`` and means of a log ``ts, model, role, wall_time, eval_tokens, tok_s`` per group."""
-    mean = lambda c: F.round(F.sum(F.col(c).cast("decimal(18,6)")).cast("double") / F.count(c), 4)
+    mean = lambda c: half_up(F.sum(F.col(c).cast("decimal(18,6)")).cast("double") / F.count(c))
     return calls.groupBy(*by).agg(F.count("*").alias("calls"), F.round(F.sum(F.col("wall_time").cast("decimal(18,6)")).cast("double"), 4).alias("wall"), F.sum("eval_tokens").alias("tokens"), mean("wall_time").alias("avg_wall"), mean("tok_s").alias("avg_tok_s"))
 
 
@@ -197,8 +197,8 @@ def transitions(calls: DataFrame, by: str = "model") -> DataFrame:
         by, "ts", (F.row_number().over(order) - 1).alias("position"), F.count("*").over(Window.partitionBy(by)).alias("n"), mean("tok_s", back).alias("speed_before"), mean("tok_s", ahead).alias("speed_after"), mean("ratio", back).alias("ratio_before"), mean("ratio", ahead).alias("ratio_after")
     )
     inside = placed.where((F.col("position") >= WINDOW_ROWS) & (F.col("position") < F.col("n") - WINDOW_ROWS))
-    jump = inside.where((F.col("speed_after") - F.col("speed_before") > JUMP) & (F.col("speed_before") < JUMP_BELOW)).select(by, "position", "ts", F.round("speed_before", 4).alias("before"), F.round("speed_after", 4).alias("after"), F.lit("speed").alias("kind"))
-    drop = inside.where((F.col("ratio_before") - F.col("ratio_after") > DROP) & (F.col("ratio_before") > DROP_ABOVE)).select(by, "position", "ts", F.round("ratio_before", 4).alias("before"), F.round("ratio_after", 4).alias("after"), F.lit("ratio").alias("kind"))
+    jump = inside.where((F.col("speed_after") - F.col("speed_before") > JUMP) & (F.col("speed_before") < JUMP_BELOW)).select(by, "position", "ts", half_up(F.col("speed_before")).alias("before"), half_up(F.col("speed_after")).alias("after"), F.lit("speed").alias("kind"))
+    drop = inside.where((F.col("ratio_before") - F.col("ratio_after") > DROP) & (F.col("ratio_before") > DROP_ABOVE)).select(by, "position", "ts", half_up(F.col("ratio_before")).alias("before"), half_up(F.col("ratio_after")).alias("after"), F.lit("ratio").alias("kind"))
     return jump.unionByName(drop)
 
 

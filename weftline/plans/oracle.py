@@ -194,7 +194,7 @@ def statements() -> dict[str, str]:
     calls = "c AS (SELECT event_id AS call_id, ts, event_type AS model, CASE WHEN event_type = 'view' THEN 'extractor' ELSE 'skill_verifier' END AS role, value AS wall_time, length(props) * 40 AS resp_chars, (props::JSON->>'$.k')::INT AS eval_tokens, (props::JSON->>'$.k')::DOUBLE AS tok_s FROM events)"
 
     def stats(by: str, source: str = "c") -> str:
-        mean = lambda x: f"round(sum({x}::DECIMAL(18, 6))::DOUBLE / count({x}), 4)"
+        mean = lambda x: half_up(f"sum({x}::DECIMAL(18, 6))::DOUBLE / count({x})")
         return f"SELECT {by}, count(*) AS calls, round(sum(wall_time::DECIMAL(18, 6))::DOUBLE, 4) AS wall, sum(eval_tokens)::BIGINT AS tokens, {mean('wall_time')} AS avg_wall, {mean('tok_s')} AS avg_tok_s FROM {source} GROUP BY ALL"
 
     w = R.WINDOW_ROWS
@@ -203,7 +203,7 @@ def statements() -> dict[str, str]:
     ratio = "resp_chars / greatest(eval_tokens, 1)"
     trans = f"""{calls}, pl AS (SELECT model, ts, row_number() OVER (PARTITION BY model ORDER BY ts, call_id) - 1 AS position, count(*) OVER (PARTITION BY model) AS n, {mean('tok_s', back)} AS sb, {mean('tok_s', ahead)} AS sa, {mean(ratio, back)} AS rb, {mean(ratio, ahead)} AS ra FROM c),
         ins AS (SELECT * FROM pl WHERE position >= {w} AND position < n - {w}),
-        tr AS (SELECT model, position, ts, round(sb, 4) AS before, round(sa, 4) AS after, 'speed' AS kind FROM ins WHERE sa - sb > {R.JUMP} AND sb < {R.JUMP_BELOW} UNION ALL SELECT model, position, ts, round(rb, 4), round(ra, 4), 'ratio' FROM ins WHERE rb - ra > {R.DROP} AND rb > {R.DROP_ABOVE})"""
+        tr AS (SELECT model, position, ts, {half_up('sb')} AS before, {half_up('sa')} AS after, 'speed' AS kind FROM ins WHERE sa - sb > {R.JUMP} AND sb < {R.JUMP_BELOW} UNION ALL SELECT model, position, ts, {half_up('rb')}, {half_up('ra')}, 'ratio' FROM ins WHERE rb - ra > {R.DROP} AND rb > {R.DROP_ABOVE})"""
 
     def top(cond: str, k: int, s: str) -> str:
         return f"(SELECT normalized_candidate AS value, count(*) AS n_{s}, row_number() OVER (ORDER BY count(*) DESC, normalized_candidate) AS rank_{s} FROM m WHERE normalized_candidate IS NOT NULL AND {cond} GROUP BY 1 QUALIFY rank_{s} <= {k})"
@@ -251,8 +251,8 @@ def statements() -> dict[str, str]:
         "extraction_summary": f"WITH {per_job}, s AS (SELECT list_sort(list(n)) AS a FROM pj) SELECT count(*) AS total_jobs, sum(n)::BIGINT AS total_mentions, round(avg(n), 4) AS mean, median(n) AS median, min(n) AS min, max(n) AS max, count(*) FILTER (n = 0) AS zero_jobs, round(stddev_samp(n), 4) AS stdev, any_value(a[len(a) // 4 + 1]) AS q1, any_value(a[3 * len(a) // 4 + 1]) AS q3 FROM pj, s",
         "mention_classes": f"WITH {per_job} {classes('pj', 'n', R.MENTION_CLASSES)}",
         "confidence_histogram": f"WITH {mentions} SELECT CASE WHEN raw_model_confidence >= 1 THEN 10 ELSE floor(raw_model_confidence * 10)::INT END AS decile, count(*) AS n FROM m WHERE raw_model_confidence IS NOT NULL GROUP BY 1",
-        "top_skills": f"WITH {mentions}, t AS (SELECT count(*) AS total FROM m WHERE normalized_candidate IS NOT NULL), c AS (SELECT normalized_candidate AS value, count(*) AS n FROM m WHERE normalized_candidate IS NOT NULL GROUP BY 1) SELECT value, n, round(100 * n / total, 4) AS share, row_number() OVER (ORDER BY n DESC, value) AS rank FROM c, t QUALIFY rank <= 30",
-        "field_frequency": f"WITH {mentions} " + " UNION ALL ".join(f"SELECT '{x}' AS field, count({x}) AS n_present, round(100 * count({x}) / greatest(count(*), 1), 4) AS share FROM m" for x in fields),
+        "top_skills": f"WITH {mentions}, t AS (SELECT count(*) AS total FROM m WHERE normalized_candidate IS NOT NULL), c AS (SELECT normalized_candidate AS value, count(*) AS n FROM m WHERE normalized_candidate IS NOT NULL GROUP BY 1) SELECT value, n, {half_up('100 * n / total')} AS share, row_number() OVER (ORDER BY n DESC, value) AS rank FROM c, t QUALIFY rank <= 30",
+        "field_frequency": f"WITH {mentions} " + " UNION ALL ".join(f"SELECT '{x}' AS field, count({x}) AS n_present, {half_up('100 * count(' + x + ') / greatest(count(*), 1)')} AS share FROM m" for x in fields),
         "verdict_distribution": f"WITH {mentions} " + " UNION ALL ".join(f"SELECT '{x}' AS field, coalesce({x}::VARCHAR, 'null') AS value, count(*) AS n FROM m GROUP BY 2" for x in kinds),
         "run_compare": f"WITH {cmp_} SELECT * FROM cp",
         "run_compare_summary": f"WITH {cmp_} SELECT count(*) FILTER (side = 'both') AS common, count(*) FILTER (side = 'only_a') AS only_a, count(*) FILTER (side = 'only_b') AS only_b, count(*) FILTER (difference = 0) AS equal, count(*) FILTER (difference > 0) AS b_more, count(*) FILTER (difference < 0) AS a_more, count(*) FILTER (n_a = 0 AND n_b = 0) AS zero_both, count(*) FILTER (n_a = 0 AND n_b > 0) AS zero_a_only, count(*) FILTER (n_b = 0 AND n_a > 0) AS zero_b_only, count(*) FILTER (difference <= -5) AS big_deficits, coalesce(-sum(difference) FILTER (difference <= -5), 0)::BIGINT AS deficit, count(*) FILTER (difference >= 5) AS big_surpluses, coalesce(sum(difference) FILTER (difference >= 5), 0)::BIGINT AS surplus, coalesce(sum(difference), 0)::BIGINT AS net FROM cp",
