@@ -26,11 +26,11 @@ def stage(df: DataFrame, prefix: str, value: str) -> DataFrame:
     return once.select(*KEY, *[F.col(c).alias(f"{prefix}_{c}") for c in ("status", "confidence", value)])
 
 
-def merge_stages(mentions: DataFrame, verified: DataFrame, required: DataFrame, hardsoft: DataFrame) -> DataFrame:
+def merge_stages(mentions: DataFrame, verified: DataFrame, required: DataFrame, hardsoft: DataFrame, legacy: bool = False) -> DataFrame:
     """Mentions with is_skill, requirement_level, hard_soft and their statuses and confidences after the merge.
 
     A verifier that ran decides; rejected, unreadable and failed replies mean no skill. Without one the extractor's flag holds,
-    and without that the mention is a skill. Classifiers likewise; values outside their vocabulary count as not given.
+    and without that the mention is a skill. In legacy mode only a rejection means no skill. Classifiers likewise; values outside their vocabulary count as not given.
     """
     v = stage(verified, "v", "is_skill")
     r = stage(required, "r", "requirement_level")
@@ -38,7 +38,8 @@ def merge_stages(mentions: DataFrame, verified: DataFrame, required: DataFrame,
     j = mentions.join(v, KEY, "left").join(r, KEY, "left").join(h, KEY, "left")
     v_status, raw = F.coalesce("v_status", F.lit("skipped")), F.coalesce("raw_model_confidence", F.lit(0.7))
     ran, flag = v_status.isin(*RAN_VERIFIER), F.col("is_skill")
-    is_skill = F.when(ran, (v_status == "accepted") & F.coalesce("v_is_skill", F.lit(True))).otherwise(F.coalesce(flag, F.lit(True)))
+    verdict = v_status != "rejected" if legacy else (v_status == "accepted") & F.coalesce("v_is_skill", F.lit(True))
+    is_skill = F.when(ran, verdict).otherwise(F.coalesce(flag, F.lit(True)))
 
     def classified(p: str, value: str, own: Column, words: tuple[str, ...], default: str) -> tuple[Column, Column, Column]:
         status = F.coalesce(f"{p}_status", F.lit("skipped"))
@@ -94,6 +95,13 @@ def audit(merged: DataFrame) -> DataFrame:
     return merged.withColumn("pipeline_audit", F.struct(*[F.struct(F.col(f"{s}_status").alias("status"), F.col(f"{s}_confidence").alias("confidence")).alias(f"{s}_stage") for s in ("verifier", "requirement", "hardsoft")]))
 
 
+def with_metadata(jobs: DataFrame, run_id: str, version: str, models: dict[str, str], started: str, completed: str) -> DataFrame:
+    """Described jobs with ``extraction_metadata``; the title is kept to 200 characters there."""
+    extra = F.create_map(*[F.lit(x) for kv in models.items() for x in kv]) if models else F.create_map().cast("map<string,string>")
+    error = F.col("error") if "error" in jobs.columns else F.lit(None).cast("string")
+    return jobs.withColumn("extraction_metadata", F.struct(F.lit(run_id).alias("run_id"), F.lit(version).alias("version"), F.col("job_key"), F.substring("title", 1, 200).alias("job_title_snapshot"), F.lit(started).alias("started_at"), F.lit(completed).alias("completed_at"), error.alias("error"), extra.alias("models")))
+
+
 def stage_counters(merged: DataFrame) -> DataFrame:
     """One row of counters over mentions; an empty table gives zeros."""
     n = lambda condition: F.count_if(condition)

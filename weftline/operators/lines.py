@@ -97,6 +97,18 @@ def chunks(lines: DataFrame) -> DataFrame:
     return grouped.mapInPandas(run, "job_index bigint, line_id string, chunk int")
 
 
+def chunk_texts(described: DataFrame, chunked: DataFrame, lines: DataFrame) -> DataFrame:
+    """``job_index, chunk, text``: the text of each retry unit, cut out of the description."""
+    spans = chunked.join(lines.select("line_id", "job_index", "char_start", "char_end"), ["job_index", "line_id"]).groupBy("job_index", "chunk").agg(F.min("char_start").alias("a"), F.max("char_end").alias("b"))
+    return spans.join(described.select("job_index", "description_normalized"), "job_index").select("job_index", "chunk", F.substr("description_normalized", F.col("a") + 1, F.col("b") - F.col("a")).alias("text"))
+
+
+def inspect(labelled: DataFrame, job_index: int) -> DataFrame:
+    """One job's lines with their labels and whether a model is shown them."""
+    shown = (T.strip(F.col("text")) != "") & ~F.col("boilerplate_label").isin("likely_legal", "likely_benefits")
+    return labelled.where(F.col("job_index") == job_index).select("line_index", "section", "boilerplate_label", shown.alias("shown"), "text").orderBy("line_index")
+
+
 def split_near_middle(text: str) -> tuple[str, str] | None:
     """Two parts of a text, cut after the sentence end nearest its middle, else at a near space, else in the middle."""
     import re

@@ -213,6 +213,15 @@ def extract(described: DataFrame, backend, fallback=None, endpoints: int = 1) ->
     return described.select("job_index", "description_normalized").mapInPandas(run, MENTION)
 
 
+def extract_batches(lines: DataFrame, backend, size: int = 5, endpoints: int = 1) -> DataFrame:
+    """The older way: a call per ``size`` lines; mention_idx counts within a batch, whose number is ``batch``."""
+    from weftline.operators.lines import batches
+
+    keyed = batches(lines, size).select(F.struct("job_index", "batch").alias("key"), F.col("text").alias("description_normalized"))
+    numbered = keyed.select((F.col("key.job_index") * 1_000_000 + F.col("key.batch")).alias("job_index"), "description_normalized")
+    return extract(numbered, backend, endpoints=endpoints).withColumns({"batch": F.pmod("job_index", F.lit(1_000_000)).cast("int"), "job_index": F.floor(F.col("job_index") / 1_000_000)})
+
+
 VERDICT = "job_index bigint, mention_idx int, status string, {value} {kind}, confidence double, evidence string, notes string, model string, seconds double"
 
 

@@ -230,6 +230,10 @@ def statements() -> dict[str, str]:
         "resolve_lines": f"WITH {stored} SELECT mention_id, line_id, s1.line_section AS section, boilerplate_label, source_line FROM m JOIN s1 USING (line_id)",
         "merge_stages": f"WITH {merged} SELECT mention_id, is_skill, verifier_status, verifier_confidence, requirement_level, requirement_status, requirement_confidence, hard_soft, hardsoft_status, hardsoft_confidence FROM g",
         "final_confidence": f"WITH {conf} SELECT mention_id, final_confidence FROM f",
+        "legacy_merge": f"WITH {mentions} SELECT mention_id, CASE WHEN {ran} THEN verifier_status <> 'rejected' ELSE coalesce(is_skill, true) END AS is_skill, CASE WHEN {ran} THEN verifier_status WHEN is_skill IS NOT NULL THEN 'extractor' ELSE 'skipped' END AS verifier_status FROM m",
+        "needs_verifier": f"WITH {stored} SELECT mention_id, raw_model_confidence < 0.75 OR coalesce(hard_soft, 'unknown') = 'unknown' OR coalesce(requirement_level, 'unclear') = 'unclear' OR coalesce(boilerplate_label, 'uncertain') = 'uncertain' AS needed FROM m JOIN s1 USING (line_id)",
+        "line_checks": "WITH s AS (SELECT DISTINCT * FROM parsed_lines), p AS (SELECT line_id, array_to_string(list_filter([CASE WHEN line_id IS NULL OR line_id = '' THEN 'no_id' END, CASE WHEN text IS NULL THEN 'no_text' END, CASE WHEN coalesce(char_start < 0 OR char_end - char_start <> length(text), true) THEN 'offsets' END], lambda x: x IS NOT NULL), ';') AS problems FROM s) SELECT * FROM p WHERE problems <> ''",
+        "mention_checks": f"WITH {mentions}, t AS (SELECT job_index, any_value(description_normalized) AS t FROM preprocessed_descriptions GROUP BY 1), p AS (SELECT mention_id, array_to_string(list_filter([CASE WHEN t IS NULL THEN 'no_text' END, CASE WHEN coalesce(char_end <= char_start, true) THEN 'order' END, CASE WHEN coalesce(char_end > length(t), true) THEN 'beyond' END, CASE WHEN coalesce(substring(t, char_start + 1, char_end - char_start) <> skill_span, true) THEN 'span' END], lambda x: x IS NOT NULL), ';') AS problems FROM m LEFT JOIN t USING (job_index) WHERE char_start >= 0) SELECT * FROM p WHERE problems <> ''",
         "mention_numbers": f"WITH {merged} SELECT mention_id AS given_id, job_key || '_M' || lpad((row_number() OVER (PARTITION BY job_index ORDER BY mention_idx) - 1)::VARCHAR, 5, '0') AS mention_id FROM g",
         "stage_counters": f"WITH {merged} SELECT count(*) AS mentions, count(*) FILTER (is_skill) AS skills, count(*) FILTER (verifier_status = 'parse_failed') AS verifier_parse_failed, count(*) FILTER (verifier_status = 'rejected') AS verifier_rejected, count(*) FILTER (requirement_status = 'parse_failed') AS requirement_parse_failed, count(*) FILTER (hardsoft_status = 'parse_failed') AS hardsoft_parse_failed, count(*) FILTER (requirement_status = 'error') + count(*) FILTER (hardsoft_status = 'error') AS stage_errors FROM g",
         "run_totals": f"WITH {per_job} SELECT count(*) AS total_jobs, count(*) AS jobs_success, 0 AS jobs_failed, sum(n)::BIGINT AS total_mentions, count(*) FILTER (n = 0) AS zero_mention_jobs FROM pj",

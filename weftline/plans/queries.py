@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import scoring, text
-from weftline.operators import assemble, candidates, grounding, lines, model_calls, ontology, reports, titles
+from weftline.operators import assemble, candidates, checks, grounding, lines, model_calls, ontology, reports, titles
 from weftline.plans import oracle, pipeline
 from weftline.session import table
 from weftline.sources import sinks
@@ -232,6 +232,56 @@ def final_confidence(spark: SparkSession, d: str) -> DataFrame:
     return assemble.scored(merged(spark, d)).select("mention_id", "final_confidence")
 
 
+@query
+def legacy_merge(spark: SparkSession, d: str) -> DataFrame:
+    base = mentions(spark, d).drop("verifier_status", "verifier_confidence", "final_confidence")
+    return assemble.merge_stages(base, *stages(spark, d), legacy=True).select("mention_id", "is_skill", "verifier_status")
+
+
+@query
+def legacy_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """The confidence with the mining rules that support each mention."""
+    stored = stored_lines(spark, d).withColumn("boilerplate_label", F.coalesce("boilerplate_label", F.lit("uncertain")))
+    fired = candidates.rules_fired(mentions(spark, d).where("char_start >= 0"), candidates.mine(stored)).select("mention_id", F.size("rules_fired").alias("n"))
+    m = merged(spark, d).join(fired, "mention_id", "left").withColumn("n_rules", F.coalesce("n", F.lit(0)))
+    return assemble.scored(m).select("mention_id", "n_rules", "final_confidence")
+
+
+@query
+def needs_verifier(spark: SparkSession, d: str) -> DataFrame:
+    m = assemble.with_lines(mentions(spark, d), stored_lines(spark, d))
+    c = F.col
+    wanted = scoring.needs_verifier(c("raw_model_confidence"), F.coalesce("hard_soft", F.lit("unknown")), F.coalesce("requirement_level", F.lit("unclear")), F.coalesce("boilerplate_label", F.lit("uncertain")))
+    return m.select("mention_id", wanted.alias("needed"))
+
+
+@query
+def line_checks(spark: SparkSession, d: str) -> DataFrame:
+    return checks.broken_lines(stored_lines(spark, d))
+
+
+@query
+def mention_checks(spark: SparkSession, d: str) -> DataFrame:
+    return checks.broken_mentions(mentions(spark, d), table(spark, d, "preprocessed_descriptions"))
+
+
+@query
+def candidates_per_line(spark: SparkSession, d: str) -> DataFrame:
+    return candidates.per_line(candidates.mine(labelled(spark, d))).select("job_index", "line_id", F.array_join("hints", "; ").alias("hints"))
+
+
+@query
+def chunk_texts(spark: SparkSession, d: str) -> DataFrame:
+    described_, segmented = described(spark, d), lines.segment(described(spark, d))
+    return lines.chunk_texts(described_, lines.chunks(segmented), segmented)
+
+
+@query
+def extract_batches_stub(spark: SparkSession, d: str) -> DataFrame:
+    vocabulary = tuple(r.canonical_skill for r in table(spark, d, "skill_reference").orderBy("ref_id").toLocalIterator())
+    return model_calls.extract_batches(lines.for_extraction(labelled(spark, d)), model_calls.StubBackend(vocabulary)).drop("seconds")
+
+
 @query
 def mention_numbers(spark: SparkSession, d: str) -> DataFrame:
     m = merged(spark, d).select("job_index", "job_key", "mention_idx", F.col("mention_id").alias("given_id"))

@@ -75,6 +75,11 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(F.get_json_object("value", "$._complete") == "true").isEmpty()
 
 
+def count_records(spark: SparkSession, path: str) -> int:
+    """Records of a stage's JSON lines, without header, footer and corrupt lines."""
+    return read_records(spark, path, "job_index bigint").count()
+
+
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
     """``raw_title, normalized_title`` of a title list (CSV, Parquet, or Excel where pandas can read it); of equal raw titles the last row holds."""
     if path.endswith((".xlsx", ".xls")):
