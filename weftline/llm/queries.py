@@ -152,6 +152,9 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"{form_all} SELECT DISTINCT field, record_id FROM formed WHERE v <> form",
         "p1_consistent": f"{form_all} SELECT DISTINCT field, record_id, form AS consistent FROM formed UNION SELECT field, record_id, v FROM fields WHERE v IS NULL OR NOT regexp_matches(v, '[^\\x00-\\x7F]')",
         "p3_found": f"WITH {lines} SELECT DISTINCT line_id FROM l JOIN notice USING (source, k) WHERE w >= 5",
+        "p3_line_counts": f"""WITH {lines}, day AS (SELECT job_index, min(posted_at)::DATE AS day FROM jobs WHERE job_index IS NOT NULL GROUP BY 1), u AS (SELECT DISTINCT source, job_index, k FROM l WHERE w >= 5), cl AS (SELECT source, job_index, string_agg(k, '|' ORDER BY k) AS cl FROM u GROUP BY 1, 2),
+            sc AS (SELECT source, count(DISTINCT cl) AS source_clusters FROM cl GROUP BY 1), kc AS (SELECT source, k, count(DISTINCT cl) AS n_clusters, count(*) AS n_postings, count(DISTINCT day) AS n_days FROM u JOIN cl USING (source, job_index) LEFT JOIN day USING (job_index) GROUP BY 1, 2)
+            SELECT source, n_clusters, n_postings, n_days, source_clusters, n.n AS source_postings FROM kc JOIN sc USING (source) JOIN n USING (source) WHERE n_clusters >= 3 AND n_clusters * 10 >= source_clusters AND n_days >= 2""",
         "p3_without": rf"WITH {lines} SELECT DISTINCT line_id, job_index, source, text, line_index FROM (SELECT p.*, {letters} AS k, len(regexp_extract_all(text, '\p{{L}}+')) AS w FROM parsed_lines p) q WHERE NOT coalesce(w >= 5 AND EXISTS (SELECT 1 FROM notice WHERE notice.source = q.source AND notice.k = q.k), false)",
         "p5_found": f"WITH {terms} SELECT field, term, mark FROM m WHERE mark IS NOT NULL",
         "p5_counts": f"WITH {terms} SELECT field, term, n_rows, n_records, mark FROM m",
