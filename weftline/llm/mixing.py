@@ -6,9 +6,10 @@ of the budget is filled by a weighted sample without replacement (Efraimidis and
 keys until their tokens reach the rest. A long document that would exceed it is passed over, and in ``ROUNDS`` rounds the gap
 it leaves is filled by the next ones that fit.
 
-The prefix sum is distributed: a key falls into one of ``BUCKETS`` buckets (a monotone function of the key, near uniform), the
-sums per source and bucket are combined map-side, and their running sum tells for every bucket but one per source whether
-it is in or out. Only that boundary bucket is sorted. A source with a third of all rows is spread over its buckets.
+The prefix sum is distributed: a key falls into a bucket by its logarithm, ``PER_OCTAVE`` buckets to a factor of two. As keys are
+exponential, a bucket holds at most ln(2) / e / PER_OCTAVE of its source (about 1 in 8,000) whatever the weights. The sums per
+source and bucket are combined map-side, and their running sum tells for every bucket but one per source whether it is in or
+out. Only that boundary bucket is sorted. A source with a third of all rows is spread over its buckets.
 
 Total size: the tokens of all documents of the listed sources, unless given. Documents without tokens or without a listed
 source are not selected. Targets that need more repeats than allowed end as 'capped'; the report has actual shares.
@@ -24,8 +25,7 @@ from weftline.llm.common import require
 from weftline.llm.tokens import TOKENIZER, with_token_counts
 from weftline.session import cut
 
-BUCKETS = 4096
-MEAN_WEIGHT = 0.7
+PER_OCTAVE = 2048
 ROUNDS = 3
 TOLERANCE = 0.02
 
@@ -46,8 +46,7 @@ def sampled(documents: DataFrame, seed: int, tokenizer: str) -> DataFrame:
     sized = with_token_counts(rows, path=tokenizer).where(F.col("n_tokens") > 0)
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), 11) + 0.5) * F.lit(2.0**-53)
     key = -F.log(u) / F.col("weight")
-    bucket = F.floor(F.lit(BUCKETS) * (1 - F.exp(-key * F.lit(MEAN_WEIGHT)))).cast("int")
-    return sized.select("doc_id", "source", "n_tokens", key.alias("key"), F.least(bucket, F.lit(BUCKETS - 1)).alias("bucket"))
+    return sized.select("doc_id", "source", "n_tokens", key.alias("key"), F.floor(F.log2(key) * PER_OCTAVE).cast("int").alias("bucket"))
 
 
 def _prefix(docs: DataFrame) -> DataFrame:
