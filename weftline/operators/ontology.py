@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.functions.ranking import global_rank
 from weftline.functions.scoring import display_name, with_canonical
 from weftline.functions.text import half_up, strip
 
@@ -78,7 +79,7 @@ def build_ontology(mentions: DataFrame, aliases=None, min_mention_count: int = 1
 
 def ranked(ontology: DataFrame) -> DataFrame:
     """In order of jobs, mentions and first appearance, with ``rank``."""
-    return ontology.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("job_count"), F.desc("mention_count"), "first_at")))
+    return global_rank(ontology, [F.desc("job_count"), F.desc("mention_count"), F.asc("first_at")])
 
 
 def duplicate_pairs(ontology: DataFrame, min_jobs: int = 2, min_contained_jobs: int = MIN_CONTAINED_JOBS) -> DataFrame:
