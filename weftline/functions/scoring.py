@@ -15,6 +15,15 @@ from weftline.functions.text import half_up, strip
 # Boosts of sections, penalties of labels.
 SECTION_BOOST = {"requirements": 0.06, "qualifications": 0.05, "preferred": 0.03, "education": 0.03, "responsibilities": 0.02}
 LABEL_PENALTY = {"likely_legal": 0.14, "likely_benefits": 0.14, "likely_marketing": 0.14, "likely_boilerplate": 0.14, "uncertain": 0.04}
+# Weights and costs of the confidence.
+DEFAULT_RAW = 0.7
+RAW_WITH_VERIFIER, VERIFIER = 0.45, 0.55
+SCORE_WITH_CLASSIFIERS, CLASSIFIERS = 0.7, 0.3
+VERIFIER_COST = {"parse_failed": 0.18, "error": 0.12}
+CLASSIFIER_COST = {"parse_failed": 0.08, "error": 0.06}
+RULE_WORTH, RULES_AT_MOST = 0.025, 0.1
+WRONG_OFFSET, WRONG_EVIDENCE = 0.12, 0.06
+# Words at the end of a name that say nothing about it, and those that only say what kind of thing it is.
 NOISE_SUFFIX = r"(?iU)\s+(skills?|proficiency|expertise|knowledge|experience|abilities|ability)$"
 GENERIC_SUFFIX = r"(?iU)\s+(programming|language|framework|platform|tools?|software|technologies|technology|development|applications?)$"
 # Common short forms and their keys; a longer table is a parameter wherever keys are made.
@@ -60,26 +69,24 @@ def final_confidence(
     evidence_ok: Column,
 ) -> Column:
     """Several signals in one confidence of 0 to 1, four digits. Null flags count as false, a null raw confidence as 0.7."""
-    s = F.coalesce(raw, F.lit(0.7))
-    s = (
-        F.when(verifier_status == "parse_failed", s - 0.18)
-        .when(verifier_status == "error", s - 0.12)
-        .when(verifier_status.isin("accepted", "rejected") & verifier_confidence.isNotNull(), 0.45 * s + 0.55 * verifier_confidence)
-        .otherwise(s)
-    )
-    done = [F.when(status.isin("accepted", "completed"), conf) for status, conf in ((requirement_status, requirement_confidence), (hardsoft_status, hardsoft_confidence))]
-    n = sum((F.when(d.isNotNull(), 1).otherwise(0) for d in done), F.lit(0))
-    mean = sum((F.coalesce(d, F.lit(0.0)) for d in done), F.lit(0.0)) / F.greatest(n, F.lit(1))
-    s = F.when(n > 0, 0.7 * s + 0.3 * mean).otherwise(s)
-    for status in (requirement_status, hardsoft_status):
-        s = s - F.when(status == "parse_failed", 0.08).when(status == "error", 0.06).otherwise(0.0)
-    boost, penalty = F.lit(0.0), F.lit(0.0)
-    for k, v in SECTION_BOOST.items():
-        boost = F.when(section == k, v).otherwise(boost)
-    for k, v in LABEL_PENALTY.items():
-        penalty = F.when(label == k, v).otherwise(penalty)
-    s = s + boost + F.least(F.lit(0.1), n_rules * 0.025) - penalty
-    s = s - F.when(F.coalesce(offset_valid, F.lit(False)), 0.0).otherwise(0.12) - F.when(F.coalesce(evidence_ok, F.lit(False)), 0.0).otherwise(0.06)
+    def of(key: Column, table: dict[str, float]) -> Column:
+        out = F.lit(0.0)
+        for k, v in table.items():
+            out = F.when(key == k, v).otherwise(out)
+        return out
+
+    s = F.coalesce(raw, F.lit(DEFAULT_RAW))
+    judged = verifier_status.isin("accepted", "rejected") & verifier_confidence.isNotNull()
+    s = F.when(verifier_status.isin(*VERIFIER_COST), s - of(verifier_status, VERIFIER_COST)).when(judged, RAW_WITH_VERIFIER * s + VERIFIER * verifier_confidence).otherwise(s)
+    classifiers = ((requirement_status, requirement_confidence), (hardsoft_status, hardsoft_confidence))
+    given = [F.when(status.isin("accepted", "completed"), confidence) for status, confidence in classifiers]
+    n = sum((F.when(g.isNotNull(), 1).otherwise(0) for g in given), F.lit(0))
+    mean = sum((F.coalesce(g, F.lit(0.0)) for g in given), F.lit(0.0)) / F.greatest(n, F.lit(1))
+    s = F.when(n > 0, SCORE_WITH_CLASSIFIERS * s + CLASSIFIERS * mean).otherwise(s)
+    for status, _ in classifiers:
+        s = s - of(status, CLASSIFIER_COST)
+    s = s + of(section, SECTION_BOOST) + F.least(F.lit(RULES_AT_MOST), n_rules * RULE_WORTH) - of(label, LABEL_PENALTY)
+    s = s - F.when(F.coalesce(offset_valid, F.lit(False)), 0.0).otherwise(WRONG_OFFSET) - F.when(F.coalesce(evidence_ok, F.lit(False)), 0.0).otherwise(WRONG_EVIDENCE)
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), half_up(s)))
 
 

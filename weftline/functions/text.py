@@ -71,6 +71,17 @@ SKILL_CUES = (
 SKILLISH = r"experience|proficient|proficiency|expertise|knowledge|familiar|skill|ability|using|with|hands-on|background|exposure|must\s+have|preferred|years?"
 TITLE_LINE = r"^[A-Z][A-Za-z\s/&]{2,50}$"
 
+# Steps, points, limits and wording of the quality assessment.
+LENGTH_STEPS = ((800, 0.25, "substantial length"), (200, 0.15, "moderate length"), (50, 0.08, "short but non-empty"))
+LENGTH_ELSE = "very short description"
+LINE_STEPS = ((5, 0.15, "multiple lines"), (1, 0.05, None))
+HEADING_STEPS = ((1, 0.12, "section-like structure"),)
+SKILL_STEPS = ((2, 0.22, "multiple skill-like lines"), (1, 0.10, "some skill-like phrasing"))
+REPEAT_COST, REPEAT_SAID, REPEAT_WORDING = 0.15, 0.35, "high duplicate line ratio"
+BAD_COST, BAD_SAID, BAD_WORDING = 0.12, 0.55, "mostly boilerplate/benefits/legal lines"
+BLANK_WORDING = "missing or empty description"
+BROKEN_CHARS, BROKEN_CHARS_NO_LINE, HEAVY_SHARE, LOW_SCORE, LOW_CHARS, COMPLETE_SCORE = 30, 80, 0.65, 0.2, 120, 0.45
+
 BAD_LABELS = ("likely_boilerplate", "likely_benefits", "likely_legal", "likely_marketing")
 
 
@@ -143,7 +154,7 @@ def line_label(s: Column, section: Column) -> Column:
     )
 
 
-def with_quality(df: DataFrame, raw: str = "description_raw", normalized: str = "description_normalized", out: str = "quality_assessment", complete_min_score: float = 0.45) -> DataFrame:
+def with_quality(df: DataFrame, raw: str = "description_raw", normalized: str = "description_normalized", out: str = "quality_assessment", complete_min_score: float = COMPLETE_SCORE) -> DataFrame:
     """``df`` with the quality assessment of a description: struct of status, quality_score, reasons and six features.
 
     No shuffle and no Python; the lines are split and stripped once.
@@ -168,38 +179,30 @@ def with_quality(df: DataFrame, raw: str = "description_raw", normalized: str =
     bp = F.when(c("_n") == 0, F.lit(0.0)).otherwise(c("_bad") / c("_n"))
     blank = F.coalesce(strip(c(raw)), F.lit("")) == ""
 
-    def points(*steps: tuple[Column, float]) -> Column:
-        out = F.when(*[steps[0][0], F.lit(steps[0][1])])
-        for condition, value in steps[1:]:
-            out = out.when(condition, F.lit(value))
-        return out.otherwise(F.lit(0.0))
-
-    score = (
-        points((n_char >= 800, 0.25), (n_char >= 200, 0.15), (n_char >= 50, 0.08))
-        + points((n_lines >= 5, 0.15), (n_lines >= 1, 0.05))
-        + points((heads >= 1, 0.12))
-        + points((skillish >= 2, 0.22), (skillish == 1, 0.10))
-        - 0.15 * F.least(dup, F.lit(1.0))
-        - 0.12 * F.least(bp, F.lit(1.0))
-    )
+    def points(value: Column, steps: tuple) -> Column:
+        out = F.lit(0.0)
+        for least, worth, _ in reversed(steps):
+            out = F.when(value >= least, F.lit(worth)).otherwise(out)
+        return out
+
+    def wording(value: Column, steps: tuple, rest: str | None = None) -> Column:
+        out = F.lit(rest)
+        for least, _, words in reversed(steps):
+            out = F.when(value >= least, F.lit(words)).otherwise(out)
+        return out
+
+    score = points(n_char, LENGTH_STEPS) + points(n_lines, LINE_STEPS) + points(heads, HEADING_STEPS) + points(skillish, SKILL_STEPS) - REPEAT_COST * F.least(dup, F.lit(1.0)) - BAD_COST * F.least(bp, F.lit(1.0))
     score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
     status = (
         F.when(blank, "malformed")
-        .when((n_char < 30) | ((n_lines == 0) & (n_char < 80)), "truncated_or_broken")
-        .when((bp > 0.65) & (skillish == 0), "boilerplate_heavy")
-        .when((score < 0.2) & (n_char < 120), "low_information")
+        .when((n_char < BROKEN_CHARS) | ((n_lines == 0) & (n_char < BROKEN_CHARS_NO_LINE)), "truncated_or_broken")
+        .when((bp > HEAVY_SHARE) & (skillish == 0), "boilerplate_heavy")
+        .when((score < LOW_SCORE) & (n_char < LOW_CHARS), "low_information")
         .when(score >= complete_min_score, "complete")
         .otherwise("low_information")
     )
-    said = F.array(
-        F.when(n_char >= 800, "substantial length").when(n_char >= 200, "moderate length").when(n_char >= 50, "short but non-empty").otherwise("very short description"),
-        F.when(n_lines >= 5, "multiple lines"),
-        F.when(heads >= 1, "section-like structure"),
-        F.when(skillish >= 2, "multiple skill-like lines").when(skillish == 1, "some skill-like phrasing"),
-        F.when(dup > 0.35, "high duplicate line ratio"),
-        F.when(bp > 0.55, "mostly boilerplate/benefits/legal lines"),
-    )
-    reasons = F.when(blank, F.array(F.lit("missing or empty description"))).otherwise(F.filter(said, lambda r: r.isNotNull()))
+    said = F.array(wording(n_char, LENGTH_STEPS, LENGTH_ELSE), wording(n_lines, LINE_STEPS), wording(heads, HEADING_STEPS), wording(skillish, SKILL_STEPS), F.when(dup > REPEAT_SAID, REPEAT_WORDING), F.when(bp > BAD_SAID, BAD_WORDING))
+    reasons = F.when(blank, F.array(F.lit(BLANK_WORDING))).otherwise(F.filter(said, lambda r: r.isNotNull()))
     features = F.struct(n_char.alias("char_length"), n_lines.alias("non_empty_line_count"), heads.alias("section_header_like_lines"), skillish.alias("skillish_line_count"), dup.alias("duplicate_line_ratio"), bp.alias("boilerplate_line_ratio"))
     result = F.struct(status.alias("status"), F.when(blank, F.lit(0.0)).otherwise(half_up(score)).alias("quality_score"), reasons.alias("reasons"), features.alias("features"))
     return once(counted, **{out: result}).drop("_lines", "_chars", "_n", "_full", "_distinct", "_heads", "_skillish", "_bad")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from weftline.functions.text import DESCRIPTION_KEYS, TITLE_KEYS
 
+# The format of a call log's lines, and where a file name has its run id.
 CALL_LINE = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),\d+ - DEBUG - .* - LLM (\S+) \[(\w+)\] ([\d.]+)s \| prompt=(\d+) chars, resp=(\d+) chars, eval=(\d+) tok, ([\d.]+) tok/s, total=([\d.]+)s"
 RUN_FILE = r"run_(\S+?)\.jsonl?$"
 
