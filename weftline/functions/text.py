@@ -120,8 +120,11 @@ def normalize_text(c: Column) -> Column:
 
 
 def split_headings(c: Column) -> Column:
-    """A line break before every inline heading; the rewrites follow each other, as later ones see what earlier ones did."""
-    text = reduce(lambda t, h: F.regexp_replace(t, rf"(?iUd)(?<=\S)\s+({h})", "\n$1"), INLINE_HEADINGS, c)
+    """A line break before every inline heading; the rewrites follow each other, as later ones see what earlier ones did.
+
+    A match starts at the first white space after other text; only there is anything else looked at.
+    """
+    text = reduce(lambda t, h: F.regexp_replace(t, rf"(?Ud)\s(?<=\S\s)\s*+((?i){h})", "\n$1"), INLINE_HEADINGS, c)
     return F.regexp_replace(text, rf"(?iUdm)^{LONG_RESPONSIBILITIES}$", "$1\n$2")
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.ranking import global_rank
 from weftline.functions.scoring import display_name, with_canonical
 from weftline.functions.text import half_up, strip
+from weftline.session import cut
 
 # Suffixes that qualify a skill without making another of it, in the order they are tried.
 QUALIFIERS = ("programming", "language", "framework", "platform", "tools", "tool", "software", "technologies", "technology", "development", "applications", "application")
@@ -23,18 +24,6 @@ def named(mentions: DataFrame, aliases=None) -> DataFrame:
     return with_canonical(rows, "name", aliases=aliases).where("canonical_key != ''")
 
 
-def first_seen_mode(df: DataFrame, key: str, value: str, position: Column) -> DataFrame:
-    """``key, <value>_mode, <value>_counts`` (sorted array of value, n): the most frequent value, the earliest seen among equals."""
-    counts = df.groupBy(key, value).agg(F.count("*").alias("n"), F.min(position).alias("at"))
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "at", F.col(value).alias("v"))))
-    return counts.groupBy(key).agg(F.get(ranked, F.lit(0))["v"].alias(f"{value}_mode"), F.array_sort(F.collect_list(F.struct(F.col(value).alias("value"), "n"))).alias(f"{value}_counts"))
-
-
-def exact_mean(c: str) -> Column:
-    """A mean that doesn't depend on the order of rows."""
-    return F.sum(F.col(c).cast("decimal(18,6)")).cast("double") / F.count(c)
-
-
 def build_ontology(mentions: DataFrame, aliases=None, min_mention_count: int = 1, top_titles: int = 10) -> DataFrame:
     """A row per canonical key of the skill mentions.
 
@@ -44,8 +33,8 @@ def build_ontology(mentions: DataFrame, aliases=None, min_mention_count: int = 1
     """
     at = F.struct("job_index", "mention_idx")
     rows = named(mentions, aliases).select("canonical_key", "name", "span", F.coalesce("hard_soft", F.lit("unknown")).alias("type"), F.coalesce("requirement_level", F.lit("unclear")).alias("requirement"), "final_confidence", F.coalesce("job_id", F.lit("")).alias("job"), strip(F.coalesce("title_raw", F.lit(""))).alias("title"), at.alias("at"))
-    # one aggregate feeds all others: rows that agree in all that is asked for are combined first
-    pre = rows.groupBy("canonical_key", "name", "span", "type", "requirement", "job", "title").agg(F.count("*").alias("n"), F.min("at").alias("at"), F.sum(F.col("final_confidence").cast("decimal(18,6)")).alias("conf"), F.count("final_confidence").alias("n_conf"), F.min("final_confidence").alias("low"), F.max("final_confidence").alias("high"))
+    # one aggregate feeds all others: rows that agree in all that is asked for are combined first and written once
+    pre = cut(rows.groupBy("canonical_key", "name", "span", "type", "requirement", "job", "title").agg(F.count("*").alias("n"), F.min("at").alias("at"), F.sum(F.col("final_confidence").cast("decimal(18,6)")).alias("conf"), F.count("final_confidence").alias("n_conf"), F.min("final_confidence").alias("low"), F.max("final_confidence").alias("high")))
     base = pre.groupBy("canonical_key").agg(F.sum("n").alias("mention_count"), F.min("at").alias("first_at"), (F.sum("conf").cast("double") / F.nullif(F.sum("n_conf"), F.lit(0))).alias("avg"), F.min("low").alias("low"), F.max("high").alias("high")).where(F.col("mention_count") >= min_mention_count)
     jobs = pre.groupBy("canonical_key", "job").agg(F.lit(1).alias("one")).groupBy("canonical_key").agg(F.count("*").alias("job_count"))
     names = pre.select("canonical_key", F.explode(F.array_distinct(F.array("name", F.when(F.col("span") != "", F.col("span")).otherwise(F.col("name"))))).alias("v")).groupBy("canonical_key").agg(F.collect_set("v").alias("all_variants"))
@@ -88,7 +77,7 @@ def duplicate_pairs(ontology: DataFrame, min_jobs: int = 2, min_contained_jobs:
     Whole-word containment is an equi-join: every run of a key between two word boundaries is looked up among the keys, so no
     pair of keys is compared that doesn't share it. Of several reasons the first in the order below holds.
     """
-    e = ontology.select(F.col("canonical_key").alias("k"), F.col("canonical_skill").alias("skill"), F.col("job_count").alias("jobs"))
+    e = cut(ontology.select(F.col("canonical_key").alias("k"), F.col("canonical_skill").alias("skill"), F.col("job_count").alias("jobs")))
     b = e.select(F.col("k").alias("base"), F.col("skill").alias("base_skill"), F.col("jobs").alias("base_jobs"))
     long = e.where(F.col("jobs") >= min_jobs)
     suffix = "|".join(QUALIFIERS)
