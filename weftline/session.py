@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +28,17 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "6g
     )
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, wherever they were started; beside ``--py-files``, not instead."""
+    root, env = str(Path(__file__).resolve().parent.parent), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder."""
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
