@@ -385,3 +385,20 @@ def test_lattice_and_path():
     assert encoding.viterbi([{"x": 9.0}, {"x": -0.5}, {"x": 9.0}]) == ["x", "x", "x"]
     assert encoding.viterbi([{"x": 1.0}]) == [""]
     assert encoding.viterbi([]) == []
+
+
+def test_copies_do_not_speak_for_a_garbled_text(spark):
+    texts = {"cp1251": "Опытный программист ищет работу", "cp1250": "řízení výroby a účetnictví"}
+    docs = []
+    for i in range(6):
+        docs += [(len(docs), f"{t} {i}") for t in [*texts.values(), "nový překlad"]]
+    bad = {}
+    for right, t in texts.items():
+        for _ in range(60):
+            bad[len(docs)] = t
+            docs.append((len(docs), misread(t, right, "cp1252")))
+    bad[len(docs)] = "the word překlad alone"
+    docs.append((len(docs), misread("the word překlad alone", "cp1250", "cp1252")))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {r.doc_id for r in encoding.garbled(df).collect()} == set(bad)
+    assert {r.doc_id: r.restored_text for r in encoding.restore(df).collect()} == bad

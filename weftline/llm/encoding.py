@@ -2,11 +2,13 @@
 
 Noisy-channel decoding. A channel is a pair (encoding the bytes were read as, encoding they were written in). Under a channel
 a token goes back to bytes, a lattice in which a lost byte (U+FFFD) is a wildcard, and is read again in its own encoding; what
-can't be read that way has no path. A reading is weighed by how often its words occur in the corpus; a reading with
+can't be read that way has no path. A reading is weighed by how often its words occur in the distinct texts of the corpus, so
+copies of a garbled text don't speak for it. Nor does the token's own text (texts are counted then, not occurrences), if more texts have the reading's words than its own
+(at a tie: more copies) or if it is odd; what a sure channel reads counts for no correct word. A reading with
 wildcards is completed by the most frequent corpus word that fits it. Over the tokens of a document a Viterbi search picks the
 channel of each: changing channels costs, so neighbouring tokens decide together and correct text stays as it is.
 
-Nothing of corpus size is held anywhere: word counts come from all documents by a map-side combined aggregate, each distinct
+Nothing of corpus size is held anywhere: word counts come from all distinct texts by map-side combined aggregates, each distinct
 token is read once, candidate words meet their counts in a join, and the evidence meets the documents in another,
 broadcast only if its counted rows are few. Per document only tokens with evidence are gathered.
 
@@ -23,7 +25,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import require
@@ -187,12 +189,18 @@ def foreign(documents: DataFrame) -> DataFrame:
 
 
 def token_counts(documents: DataFrame) -> DataFrame:
-    """``token, n`` over all documents: how often each non-ASCII token occurs."""
-    return foreign(documents).select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN), 1)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    """``token, n, t, m`` of each non-ASCII token: occurrences in distinct texts, distinct texts, and texts with their copies. Of a text's tokens that differ in case only, one counts for ``t`` and ``m``."""
+    texts = foreign(documents).groupBy("text").agg(F.count("*").alias("copies"))
+    found = F.regexp_extract_all("text", F.lit(TOKEN), 1)
+    by_form = F.array_sort(F.transform(found, lambda t: F.struct(F.lower(t).alias("form"), t.alias("token"))))
+    placed = texts.select("copies", F.explode(F.array(by_form)).alias("f"))  # a generator, or the lambda below would find the tokens again for each
+    placed = placed.select("copies", F.transform("f", lambda x, i: F.struct(x.token.alias("token"), ((i == 0) | (F.get("f", i - 1).form != x.form)).alias("first"))).alias("f"))
+    rows = placed.select("copies", F.explode("f").alias("x")).select("x.token", F.col("x.first").cast("bigint").alias("first"), "copies")
+    return rows.groupBy("token").agg(F.count("*").alias("n"), F.sum("first").alias("t"), F.sum(F.col("first") * F.col("copies")).alias("m"))
 
 
 def candidate_units(tokens: DataFrame) -> DataFrame:
-    """``token, n, channel, reading, i, unit, damaged, doubtful`` per unit, of each reading and (channel '') of the token itself.
+    """``token, n, t, m, channel, reading, i, unit, damaged, doubtful`` per unit, of each reading and (channel '') of the token itself.
 
     doubtful: a sure channel can read the token, so its words are none to restore others by. odd: the token as it is has control
     characters or a word of several scripts.
@@ -201,15 +209,15 @@ def candidate_units(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for token, n in zip(b["token"], b["n"]):
+            for token, n, t, m in zip(b["token"], b["n"], b["t"], b["m"]):
                 others = readings(token)
                 doubtful = any(channel in SURE for channel, _ in others)
                 for channel, text in [("", token), *others]:
                     for i, u in enumerate(word_units(text) or [""]):
-                        rows.append((token, n, channel, text, i, u, LOST in u, doubtful, not channel and not plausible(text)))
-            yield pd.DataFrame(rows, columns=["token", "n", "channel", "reading", "i", "unit", "damaged", "doubtful", "odd"])
+                        rows.append((token, n, t, m, channel, text, i, u, LOST in u, doubtful, not channel and not plausible(text)))
+            yield pd.DataFrame(rows, columns=["token", "n", "t", "m", "channel", "reading", "i", "unit", "damaged", "doubtful", "odd"])
 
-    return tokens.mapInPandas(run, "token string, n bigint, channel string, reading string, i int, unit string, damaged boolean, doubtful boolean, odd boolean")
+    return tokens.mapInPandas(run, "token string, n bigint, t bigint, m bigint, channel string, reading string, i int, unit string, damaged boolean, doubtful boolean, odd boolean")
 
 
 _WORDS = re.compile(rf"[^\W\d_]*{LOST}[^\W\d_{LOST}]*(?:{LOST}[^\W\d_]*)*|[^\W\d_]+|[^\x00-\x7f]")
@@ -228,8 +236,9 @@ def evidence(documents: DataFrame) -> DataFrame:
     tokens = cut(token_counts(documents))
     exploded = cut(candidate_units(tokens))
     own = exploded.where((F.col("channel") == "") & ~F.col("damaged") & (F.col("unit") != ""))
-    counts = own.groupBy("unit").agg(F.sum("n").alias("c"), F.sum(F.when(~F.col("doubtful"), F.col("n")).otherwise(0)).alias("clean"))
-    total = counts.agg(F.sum("c").cast("double").alias("total"))
+    sure = [F.sum(F.when(~F.col("doubtful"), F.col(x)).otherwise(0)).alias(y) for x, y in (("n", "clean"), ("t", "clean_texts"))]
+    counts = own.groupBy("unit").agg(F.sum("n").alias("c"), F.sum("t").alias("texts"), F.sum("m").alias("copied"), *sure)
+    total = counts.agg(F.sum("c").cast("double").alias("total"), F.sum("copied").cast("double").alias("all_copies"))
     # the corpus words that fit a damaged word, by skeleton; the most frequent with as many characters as were lost wins
     bones = F.lower(F.regexp_replace("unit", r"[^\x00-\x7F]+", LOST))
     runs = F.length("unit")
@@ -238,13 +247,28 @@ def evidence(documents: DataFrame) -> DataFrame:
     fitting = broken.join(words, "bones").where(F.col("length") <= F.col("most"))
     best = fitting.groupBy("unit").agg(F.max_by(F.struct("word", "wc"), F.struct((F.col("length") == F.col("most")).alias("exact"), "wc", "word")).alias("w")).select("unit", F.col("w.word").alias("word"), F.col("w.wc").alias("wc"))
     sized = exploded.join(counts, "unit", "left").join(best, "unit", "left").join(F.broadcast(total))
-    known = F.coalesce(F.when(F.col("damaged"), F.col("wc")).otherwise(F.col("c")), F.lit(0))
-    # a token's own occurrences say nothing for it being correct text
+    as_read = F.col("channel") == ""
+
+    def count(all_: str, clean: str) -> Column:
+        return F.coalesce(F.when(F.col("damaged"), F.col("wc")).when(as_read & F.col("doubtful"), F.col(clean)).otherwise(F.col(all_)), F.lit(0))
+
+    known, texts = count("c", "clean"), count("texts", "clean_texts")
+    # the words that tell a token from its readings: of several letters, one of them not ASCII; signs and single letters are too common to
+    telling = (F.length("unit") > 1) & (F.octet_length("unit") > F.char_length("unit"))
+    eff = F.when(telling, texts + F.coalesce(F.when(~F.col("damaged"), F.col("copied")), F.lit(0)) / F.col("all_copies"))
+    # a token's own text says nothing for it being correct
+    others = F.when(as_read & ~F.col("damaged") & ~F.col("doubtful"), F.greatest(texts - 1, F.lit(0))).otherwise(texts)
+    apart = F.when(telling, others).otherwise(known)
     stranger = F.when((known < 1) & (F.col("channel") != "") & ~F.col("channel").isin(*SURE) & (F.length("unit") > 0), F.lit(STRANGER)).otherwise(0.0)
-    weight = F.when(F.col("unit") == "", 0.0).otherwise(F.log((known + UNKNOWN) / F.col("total")) - stranger)
-    scored = sized.groupBy("token", "channel", "reading").agg(F.sum(weight).alias("score"), F.max("damaged").alias("damaged"), F.max("odd").alias("odd"), F.transform(F.array_sort(F.collect_list(F.struct("i", "unit", "word", "damaged"))), lambda x: F.struct(x.unit, x.word)).alias("parts"))
-    as_is = scored.where("channel = ''").select("token", (F.col("score") - F.when(F.col("odd"), STRANGER).otherwise(0.0)).alias("base"), F.col("damaged").alias("lost"), F.col("parts").alias("own_parts"))
-    others = scored.where("channel != ''").join(as_is.select("token", "base"), "token").withColumn("gain", F.col("score") - F.col("base"))
+
+    def weight(of: Column) -> Column:
+        return F.sum(F.when(F.col("unit") == "", 0.0).otherwise(F.log((of + UNKNOWN) / F.col("total")) - stranger))
+
+    scored = sized.groupBy("token", "channel", "reading").agg(weight(apart).alias("score"), weight(known).alias("whole"), F.min(eff).alias("least"), F.max(eff).alias("most"), F.max("damaged").alias("damaged"), F.max("odd").alias("odd"), F.transform(F.array_sort(F.collect_list(F.struct("i", "unit", "word", "damaged"))), lambda x: F.struct(x.unit, x.word)).alias("parts"))
+    strange = F.when(F.col("odd"), STRANGER).otherwise(0.0)
+    as_is = scored.where("channel = ''").select("token", (F.col("score") - strange).alias("base"), (F.col("whole") - strange).alias("whole_base"), F.col("most").alias("own_most"), "odd", F.col("damaged").alias("lost"), F.col("parts").alias("own_parts"))
+    against = scored.where("channel != ''").join(as_is.select("token", "base", "whole_base", "own_most", F.col("odd").alias("own_odd")), "token")
+    others = against.withColumn("gain", F.when(F.col("own_odd") | (F.col("least") > F.col("own_most")), F.col("score") - F.col("base")).otherwise(F.col("whole") - F.col("whole_base")))
     hopeful = others.where(F.col("gain") > -2.0).groupBy("token").agg(F.collect_list(F.struct("channel", "reading", "gain", "parts")).alias("options"))
     lost = as_is.where("lost").select("token", "own_parts")
     return hopeful.join(lost, "token", "full").select("token", F.coalesce("options", F.array()).alias("options"), F.col("own_parts").isNotNull().alias("lost"), F.coalesce("own_parts", F.array()).alias("own_parts"))
