@@ -181,6 +181,15 @@ def test_plain_text_is_left(text):
     assert markup.read_markup(text)[:2] == (text, [])
 
 
+ONLY_MARK = ["see [https://x.y here] now", "$$\na = b + c\n$$", "<!DOCTYPE html>\ntext", "<?xml version='1.0'?>\ntext", "a\n#* item", "a |\n---|\n1 |"]
+
+
+def test_the_filter_lets_every_mark_through(spark):
+    assert all(markup.read_markup(t)[1] for t in ONLY_MARK)
+    df = spark.createDataFrame(list(enumerate([*ONLY_MARK, *PLAIN])), "job_index bigint, description_raw string")
+    assert {r.job_index for r in markup.marked_up(df).collect()} == set(range(len(ONLY_MARK)))
+
+
 def test_marked_up(spark):
     rows = [(1, "<b>x</b>", "c"), (1, "<b>x</b>", "c"), (2, None, "c"), (3, "", "c"), (4, LONG, "c"), (5, LONG + "<p>end</p>", "c"), (None, "&amp;", "c")]
     df = spark.createDataFrame(rows, "job_index bigint, description_raw string, clean_text_kinds string")

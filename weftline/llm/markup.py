@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from weftline.llm.common import require
 
 # Superset of every construct below; lines of plain text rarely match it.
-SUSPECT = r"(?m)</?[A-Za-z]|<!--|&#?[A-Za-z0-9]+;|\*\*|__|`|~~|\[\[|\{\{|''|^\s*={1,6}[^=]+=|^\s*#{1,6}\s|^\s*>|^\s*[-=]{3,}\s*$|\|\s*:?-{3}|\]\(|\\[A-Za-z\\\[\](){}&%$#_]|\$[^$\n]+\$|(?<![\w*])\*[^\s*]|(?<!\w)_[^\s_]"
+SUSPECT = r"(?m)</?[A-Za-z]|<!--|&#?[A-Za-z0-9]+;|\*\*|__|`|~~|\[\[|\{\{|''|^\s*={1,6}[^=]+=|^\s*#{1,6}\s|^\s*>|^\s*[-=]{3,}\s*$|\|\s*:?-{3}|\]\(|\\[A-Za-z\\\[\](){}&%$#_]|\$[^$\n]+\$|(?<![\w*])\*[^\s*]|(?<!\w)_[^\s_]|\[(?:https?:)?//|\$\$|<[!?]|^\s*[*#]{2,}|^\s*:?-{3,}:?\s*\|"
 
 # The elements that HTML defines and that postings use.
 TAGS = (
