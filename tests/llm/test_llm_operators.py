@@ -190,6 +190,12 @@ def test_the_filter_lets_every_mark_through(spark):
     assert {r.job_index for r in markup.marked_up(df).collect()} == set(range(len(ONLY_MARK)))
 
 
+@pytest.mark.parametrize("text, want", [("a" + "{{x|" * 12 + "}}" * 12 + "b", "ab"), ("\\textbf{" * 12 + "a" + "}" * 12, "a"), ("a &" + "amp;" * 6 + " b", "a & b"), ("**" + "~~_" * 6 + "a" + "_~~" * 6 + "**", None)])
+def test_markup_of_any_depth_is_read(text, want):
+    clean, kinds, _ = markup.read_markup(text)
+    assert kinds and (want is None or clean == want) and markup.read_markup(clean)[:2] == (clean, [])
+
+
 def test_marked_up(spark):
     rows = [(1, "<b>x</b>", "c"), (1, "<b>x</b>", "c"), (2, None, "c"), (3, "", "c"), (4, LONG, "c"), (5, LONG + "<p>end</p>", "c"), (None, "&amp;", "c")]
     df = spark.createDataFrame(rows, "job_index bigint, description_raw string, clean_text_kinds string")

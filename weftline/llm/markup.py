@@ -171,7 +171,7 @@ class _Reader:
             self.kinds.add("html")
             return " " if got == "\xa0" else got
 
-        for _ in range(3 if "&" in self.text else 0):
+        while "&" in self.text:  # each pass shortens the text, here and below
             new = ENTITY.sub(one, self.text)
             if new == self.text:
                 break
@@ -206,7 +206,7 @@ class _Reader:
                     lists[-1][1] += 1
                 out.append(f"{_ITEM}{max(1, len(lists))}" + (f"{lists[-1][1]}. " if ordered else "• "))
         self.text = "".join([*out, self.text[at:]])
-        for _ in range(8):
+        while True:
             new = TEX_ARGUMENT.sub(lambda m: f"{m[2]}" if m[1] not in ("label", "ref", "cite", "vspace", "hspace", "usepackage", "documentclass", "includegraphics", "pagestyle", "input") else "", self.text)
             if new == self.text:
                 break
@@ -225,7 +225,7 @@ class _Reader:
         self.sub("wiki", _MATH, lambda m: self.keep("formula", m[1].strip(), False))
         self.sub("wiki", _REF, "")
         self.sub("wiki", WIKI_TAGS, "")
-        for _ in range(8):  # templates nest
+        while True:  # templates nest
             before = self.text
             self.sub("wiki", WIKI_TEMPLATE, "")
             if before == self.text:
@@ -280,7 +280,7 @@ class _Reader:
         self.sub("markdown", MD_LINK, lambda m: m[1])
         self.sub("markdown", CODE, lambda m: self.keep("code", m[2], False))
         for pattern in (BOLD, ITALIC, STRIKE):
-            for _ in range(3):
+            while True:
                 before = self.text
                 self.sub("markdown", pattern, lambda m: next(x for x in m.groups() if x is not None))
                 if before == self.text:
