@@ -54,23 +54,59 @@ def test_quality(spark):
     assert got[2].status == "complete" and got[2].features.skillish_line_count == 20
 
 
-def test_chunks_and_split():
-    assert lines.chunk_spans([3000, 3000, 10], ["a", "a", "b"]) == [0, 1, 2]
-    assert lines.chunk_spans([1] * 50, ["a"] * 50) == [0] * 24 + [1] * 24 + [2] * 2
+def test_segmentation_is_linear_in_meaning(spark):
+    texts = ["Requirements:\na\nBenefits:\nb\n", "\n\nx", "no heading", "é😀\nEducation:\n" + "\n".join("y" * i for i in range(300))]
+    got = {}
+    for r in lines.segment(lines.describe(jobs(spark, texts), split=False)).orderBy("job_index", "line_index").collect():
+        got.setdefault(r.job_index, []).append((r.line_index, r.section, r.text, r.char_start, r.char_end))
+    for i, t in enumerate(texts):
+        t, at, section, want = t.strip(), 0, "body", []
+        for n, x in enumerate(t.split("\n")):
+            section = {"Requirements:": "requirements", "Benefits:": "benefits", "Education:": "education"}.get(x, section)
+            want.append((n, section, x, at, at + len(x)))
+            at += len(x) + 1
+        assert got[i] == want
+
+
+def test_chunks_and_split(spark):
+    texts = ["a" * 3000 + "\n" + "b" * 3000 + "\n" + "c" * 10, "\n".join(["a"] * 50), "Requirements:\n" + "x" * 2600 + "\nEducation:\ny", ""]
+    d = lines.describe(jobs(spark, texts), split=False)
+    got = {}
+    for r in lines.chunks(d).orderBy("job_index", "line_id").collect():
+        got.setdefault(r.job_index, []).append(r.chunk)
+    assert got == {0: [0, 1, 1], 1: [0] * 24 + [1] * 24 + [2] * 2, 2: [0, 0, 1, 1]}
+    parts = {}
+    for r in lines.chunk_texts(d).orderBy("job_index", "chunk").collect():
+        parts.setdefault(r.job_index, []).append(r.text)
+    assert {i: "\n".join(p) for i, p in parts.items()} == {i: t for i, t in enumerate(texts) if t}
     assert lines.split_near_middle("One two. Three four.") == ("One two.", "Three four.")
-    assert lines.split_near_middle("x") is None
+    assert lines.split_near_middle("aaa bbbb") == ("aaa", "bbbb")
+    assert lines.split_near_middle("x" * 10) == ("x" * 5, "x" * 5)
+    assert lines.split_near_middle("x") is None and lines.split_near_middle("") is None
 
 
-def test_mining():
-    m = candidates.Miner(candidates.STOP_WORDS)
-    got = m.mine("Experience with Apache Spark and SQL.", "body", "skills_relevant", 100)
-    assert got[0][:4] == ("Apache Spark and SQL", 116, 136, "experience_with_pattern")
+def test_starts(spark):
+    rows = [("aaa", "aa", [0, 1]), ("xabab", "ab", [1, 3]), ("abab", "ab", [0, 2]), ("a.b", ".", [1]), ("😀a😀", "a", [1]), ("x\\Ey", "\\E", [1]), ("abc", "", []), ("abc", "z", [])]
+    df = spark.createDataFrame([r[:2] for r in rows], "t string, s string")
+    assert [r[0] for r in df.select(T.starts(F.col("t"), F.col("s"))).collect()] == [r[2] for r in rows]
+
+
+def mined(spark, line, section, label, start=0):
+    df = spark.createDataFrame([(1, "L", section, line, label, start)], "job_index bigint, line_id string, section string, text string, boilerplate_label string, char_start int")
+    return [(r.candidate_text, r.char_start, r.char_end, r.rule_source) for r in candidates.mine(df).orderBy("ordinal").collect()]
+
+
+def test_mining(spark):
+    assert mined(spark, "Experience with Apache Spark and SQL.", "body", "skills_relevant", 100)[0] == ("Apache Spark and SQL", 116, 136, "experience_with_pattern")
     line = "Tools: Spark, dbt, C++ and K8s"
-    assert {g[0] for g in m.mine(line, "requirements", "uncertain", 0)} >= {"Spark", "dbt"}
-    assert m.mine("About us: a nice place to be", "about", "uncertain", 0) == []
-    assert [g[3] for g in m.mine("Stack used here: the JVM", "body", "uncertain", 0)] == ["post_colon_fragment"]
-    for text, start, end, _, _ in m.mine(line, "requirements", "uncertain", 0):
-        assert line[start:end] == text
+    got = mined(spark, line, "requirements", "uncertain")
+    assert {g[0] for g in got} >= {"Spark", "dbt"} and all(line[a:b] == t for t, a, b, _ in got)
+    assert mined(spark, "About us: a nice place to be", "about", "uncertain") == []
+    assert [g[3] for g in mined(spark, "Stack used here: the JVM", "body", "uncertain")] == ["post_colon_fragment"]
+    # a fragment that is not on the line as it is falls into its members, at all their places
+    assert mined(spark, "Go, Go\u00a0\u00a0and Rust: experience with Go,\u00a0\u00a0Rust", None, "uncertain")[:2] == [("Go", 0, 2, "experience_with_pattern"), ("Go", 4, 6, "experience_with_pattern")]
+    assert mined(spark, None, None, "uncertain") == [] and mined(spark, "", "requirements", None) == []
+    assert mined(spark, "x" * 50_000 + ", Go", "requirements", "uncertain") == []
 
 
 def test_rule_counts_are_those_of_the_patterns(spark):
@@ -83,15 +119,21 @@ def test_rule_counts_are_those_of_the_patterns(spark):
     assert {r.rule_source: r.n_matches for r in candidates.rule_counts(labelled).collect()} == want
 
 
-def test_grounding():
-    ls = [{"text": "SQL and sql", "section": "body"}, {"text": "know SQL", "section": "requirements"}]
-    used = set()
-    assert grounding.anchor("SQL", "", "requirements", ls, used) == (1, 5)
-    assert grounding.anchor("SQL", "", "requirements", ls, used) == (0, 0)
-    assert grounding.anchor("SQL", "", "requirements", ls, used) == (1, 5)  # all taken: the best again
-    assert grounding.anchor("SQL", "SQL and", "General", ls, set()) == (0, 0)
-    assert grounding.anchor("Sql", "", "General", ls, set()) == (0, 0)  # by letters only
-    assert grounding.anchor("Go", "", "General", ls, set()) is None
+def test_grounding(spark):
+    rows = [(1, 0, "L1", "body", "SQL and sql"), (1, 1, "L2", "requirements", "know SQL"), (2, 0, "L3", None, "nothing here")]
+    ls = spark.createDataFrame(rows, "job_index bigint, line_index int, line_id string, section string, text string").withColumns({"boilerplate_label": F.lit("uncertain"), "char_start": F.lit(10)})
+    asked = [(1, 0, "SQL", "", "Requirements"), (1, 1, "SQL", "", "requirements"), (1, 2, "SQL", None, "requirements"), (1, 3, "Sql", "", None), (1, 4, "Go", "", "General"), (1, 5, " ", "", ""), (1, 6, "know", "know SQL", "body"), (2, 0, "SQL", "", ""), (3, 0, "SQL", "", ""), (1, 7, "S", "know", "body")]
+    m = spark.createDataFrame(asked, "job_index bigint, mention_idx int, skill_span string, context string, section_hint string")
+    got = {r.mention_idx: (r.line_id, r.line_char_start, r.char_end, r.offset_valid) for r in grounding.ground(m, ls).collect()}
+    assert got == {0: ("L2", 5, 18, True), 1: ("L1", 0, 13, True), 2: ("L2", 5, 18, True), 3: ("L1", 0, 13, False), 6: ("L2", 0, 14, True), 7: ("L2", 5, 16, True)}
+
+
+def test_checks_name_what_is_broken(spark):
+    from weftline.operators import checks
+
+    rows = [("a", "text", 0, 4), (None, "x", 0, 1), ("b", None, 0, 1), ("c", "xy", 3, 4)]
+    got = {r.line_id: r.problems for r in checks.broken_lines(spark.createDataFrame(rows, "line_id string, text string, char_start int, char_end int")).collect()}
+    assert got == {None: "no_id", "b": "no_text;offsets", "c": "offsets"}
 
 
 def test_repair(spark):

@@ -97,6 +97,19 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return packed.select(*[F.col(f"`{c}`") for c in names], *[F.col(f"_once.{k}").alias(k) for k in columns])
 
 
+def starts(text: Column, span: Column) -> Column:
+    """All 0-based places of ``span`` in ``text``, overlapping ones too: a text is cut before each of them, and the pieces' lengths add up."""
+    quoted = F.concat(F.lit(r"(?=\Q"), F.replace(span, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)"))
+    empty = F.array().cast("array<int>")
+    added = F.aggregate(
+        F.split(text, quoted, -1),
+        F.struct(F.lit(0).alias("at"), empty.alias("out")),
+        lambda acc, piece: F.struct((acc["at"] + F.length(piece)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: F.when(F.startswith(text, span), acc["out"]).otherwise(F.slice(acc["out"], F.lit(2), F.size(acc["out"]))),
+    )
+    return F.when((F.length(span) > 0) & F.contains(text, span), added).otherwise(empty)
+
+
 def half_up(c: Column, digits: int = 4) -> Column:
     """Rounded by plain floating-point arithmetic, as other engines do it."""
     return F.floor(c * 10**digits + 0.5) / float(10**digits)

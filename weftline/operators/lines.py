@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import text as T
+from weftline.session import spread
 
-LINE = "struct<line_index: int, section: string, text: string, char_start: int, char_end: int>"
+_SENTENCE_END = re.compile(r"[.!?;\n]+\s+")
+# The size of a retry unit, and how far from the middle a text may be cut at a space.
+CHUNK_CHARS, CHUNK_LINES, NEAR = 5000, 24, 400
 
 
 def current_jobs(jobs: DataFrame) -> DataFrame:
     """The latest crawl of each posting; later rows by the remaining columns where ingested_at ties."""
     latest = Window.partitionBy("job_index").orderBy(F.desc_nulls_last("ingested_at"), F.desc_nulls_last("description_raw"), F.desc_nulls_last("job_description"), F.desc_nulls_last("title_raw"), F.desc_nulls_last("job_title"))
-    return jobs.withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
+    return spread(jobs, "job_index").withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
 
 
 def describe(jobs: DataFrame, split: bool = True) -> DataFrame:
@@ -29,25 +31,49 @@ def describe(jobs: DataFrame, split: bool = True) -> DataFrame:
     return T.once(named, description_normalized=T.split_headings(normalized) if split else normalized)
 
 
-def segment(described: DataFrame) -> DataFrame:
-    """A row per line: ``job_index, job_key, line_id, line_index, section, text, char_start, char_end``.
+def runs_of(items: Column, heads: Column, make) -> Column:
+    """``items`` as rows made by ``make(item, index, head)``, head being the last of ``heads`` (by ``i``, the first at 0) at or before the item.
+
+    Each run is a slice, so the work is in proportion to the items.
+    """
+
+    def run(head: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(heads, k + 1)["i"], F.size(items))
+        return F.transform(F.slice(items, head["i"] + 1, end - head["i"]), lambda x, j: make(x, head["i"] + j, head))
+
+    return F.flatten(F.transform(heads, run))
 
-    The lines of a text are numbered, placed and given the section of the last heading in one pass over the row's own array,
-    so that no text is shuffled. Empty texts have no lines.
+
+def line_arrays(described: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``lines``, an array of ``line_index, section, text, char_start, char_end`` per text that isn't empty.
+
+    A line's start is the place behind the line feed before it; its section that of the last heading. Both come from the
+    row's own arrays, so no text is shuffled.
     """
-    lines = F.split("description_normalized", "\n", -1)
-    opened = F.transform(F.transform(lines, lambda x: F.struct(x.alias("text"), T.strip(x).alias("s"))), lambda x: F.struct(x["text"].alias("text"), T.section_header(x["s"]).alias("header")))
-    start = F.struct(F.lit(0).alias("at"), F.lit("body").alias("section"), F.array().cast(f"array<{LINE}>").alias("out"))
+    text = F.col("description_normalized")
+    feeds = F.filter(F.transform(F.split(text, ""), lambda c, i: F.when(c == "\n", i)), lambda i: i.isNotNull())
+    cut = T.once(described.where(text != "").select(*keep, "description_normalized"), _cut=F.split(text, "\n", -1), _feeds=feeds)
+    opened = F.filter(F.transform("_cut", lambda x, i: F.struct(i.alias("i"), T.section_header(T.strip(x)).alias("section"))), lambda h: h["section"].isNotNull())
+    body = F.array(F.struct(F.lit(0).alias("i"), F.lit("body").alias("section")))
+    headed = T.once(cut, _heads=F.when(F.get(opened, F.lit(0))["i"] == 0, opened).otherwise(F.concat(body, opened)))
+
+    def line(x: Column, i: Column, head: Column) -> Column:
+        start = F.coalesce(F.get("_feeds", i - 1) + 1, F.lit(0))
+        return F.struct(i.alias("line_index"), head["section"].alias("section"), x.alias("text"), start.alias("char_start"), (start + F.length(x)).alias("char_end"))
 
-    def step(acc, opened_line):
-        line, section = opened_line["text"], F.coalesce(opened_line["header"], acc["section"])
-        row = F.struct(F.size(acc["out"]).alias("line_index"), section.alias("section"), line.alias("text"), acc["at"].alias("char_start"), (acc["at"] + F.length(line)).alias("char_end"))
-        return F.struct((acc["at"] + F.length(line) + 1).alias("at"), section.alias("section"), F.concat(acc["out"], F.array(row)).alias("out"))
+    return headed.select(*keep, runs_of(F.col("_cut"), F.col("_heads"), line).alias("lines"))
 
-    rows = described.where(F.col("description_normalized") != "").select("job_index", "job_key", F.explode(F.aggregate(opened, start, step, lambda acc: acc["out"])).alias("l"))
-    line_id = F.concat("job_key", F.lit("_L"), F.lpad((F.col("l.line_index") + 1).cast("string"), 4, "0"))
-    wide = F.concat("job_key", F.lit("_L"), (F.col("l.line_index") + 1).cast("string"))
-    return rows.select("job_index", "job_key", F.when(F.col("l.line_index") < 9999, line_id).otherwise(wide).alias("line_id"), "l.*")
+
+def line_id(job_key: Column, index: Column) -> Column:
+    """The key and the line's number from 1, of four digits at least."""
+    number = (index + 1).cast("string")
+    return F.concat(job_key, F.lit("_L"), F.when(index < 9999, F.lpad(number, 4, "0")).otherwise(number))
+
+
+def segment(described: DataFrame) -> DataFrame:
+    """A row per line: ``job_index, job_key, line_id, line_index, section, text, char_start, char_end``. Empty texts have no lines."""
+    rows = line_arrays(described, "job_index", "job_key").select("job_index", "job_key", F.explode("lines").alias("l"))
+    return rows.select("job_index", "job_key", line_id(F.col("job_key"), F.col("l.line_index")).alias("line_id"), "l.*")
 
 
 def label(lines: DataFrame) -> DataFrame:
@@ -67,40 +93,54 @@ def batches(lines: DataFrame, size: int = 5) -> DataFrame:
     return grouped.select("job_index", "batch", F.col("l.line_id").alias("line_ids"), F.array_join("l.text", "\n").alias("text"))
 
 
-def chunk_spans(sizes: list[int], sections: list[str], max_chars: int = 5000, max_lines: int = 24) -> list[int]:
-    """The chunk of each line: greedy, cut at the limits and, once half full, where the section changes."""
-    out, chunk, chars, count = [], 0, 0, 0
-    for i, size in enumerate(sizes):
-        size = max(1, size)
-        full = chars + size + (1 if count else 0) > max_chars or count >= max_lines
-        turned = i > 0 and sections[i].lower() != sections[i - 1].lower() and chars >= max_chars // 2
-        if count and (full or turned):
-            chunk, chars, count = chunk + 1, 0, 0
-        chars += size + (1 if chars else 0)
-        count += 1
-        out.append(chunk)
-    return out
+def chunk_starts(lines: Column, max_chars: int = CHUNK_CHARS, max_lines: int = CHUNK_LINES) -> Column:
+    """``array<struct<i, k>>``: the first line and the number of each retry unit of ``lines``.
+
+    A fold along the lines: a unit ends where the next line would exceed a limit or, once it is half full, changes the section.
+    """
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("chars"), F.lit(0).alias("count"), F.lit("").alias("section"), F.array().cast("array<int>").alias("cuts"))
+
+    def step(acc: Column, x: Column) -> Column:
+        size, section = F.greatest(F.lit(1), x["char_end"] - x["char_start"]), F.lower(x["section"])
+        grown = acc["chars"] + size + 1
+        turned = (section != acc["section"]) & (acc["chars"] >= max_chars // 2)
+        cut = (acc["count"] == 0) | (grown > max_chars) | (acc["count"] >= max_lines) | turned
+        return F.struct(
+            (acc["i"] + 1).alias("i"),
+            F.when(cut, size).otherwise(grown).alias("chars"),
+            F.when(cut, 1).otherwise(acc["count"] + 1).alias("count"),
+            section.alias("section"),
+            F.when(cut, F.concat(acc["cuts"], F.array(acc["i"]))).otherwise(acc["cuts"]).alias("cuts"),
+        )
 
+    return F.transform(F.aggregate(lines, start, step, lambda acc: acc["cuts"]), lambda i, k: F.struct(i.alias("i"), k.alias("k")))
 
-def chunks(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``chunk``, the retry unit it belongs to; a job's lines form one group, bounded by its text."""
-    grouped = lines.groupBy("job_index").agg(F.array_sort(F.collect_list(F.struct("line_index", "line_id", "section", "char_start", "char_end"))).alias("l"))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in parts:
-            rows = []
-            for job, ls in zip(b["job_index"], b["l"]):
-                at = chunk_spans([x["char_end"] - x["char_start"] for x in ls], [x["section"] for x in ls])
-                rows += [(job, x["line_id"], c) for x, c in zip(ls, at)]
-            yield pd.DataFrame(rows, columns=["job_index", "line_id", "chunk"])
+def chunks(described: DataFrame) -> DataFrame:
+    """``job_index, line_id, chunk``: the retry unit of each line."""
+    arrays = T.once(line_arrays(described, "job_index", "job_key"), _starts=chunk_starts(F.col("lines")))
+    numbered = runs_of(F.col("lines"), F.col("_starts"), lambda x, i, head: F.struct(i.alias("i"), head["k"].alias("chunk")))
+    rows = arrays.select("job_index", "job_key", F.explode(numbered).alias("l"))
+    return rows.select("job_index", line_id(F.col("job_key"), F.col("l.i")).alias("line_id"), "l.chunk")
 
-    return grouped.mapInPandas(run, "job_index bigint, line_id string, chunk int")
 
+def with_chunks(described: DataFrame, *keep: str) -> DataFrame:
+    """``keep``, ``n_lines`` and ``chunks``, the texts of a description's retry units, cut out of it in the row itself."""
+    text = F.col("description_normalized")
+    arrays = line_arrays(described, *keep, "description_normalized").withColumnRenamed("lines", "_lines")
+    arrays = T.once(arrays, _starts=chunk_starts(F.col("_lines")))
 
-def chunk_texts(described: DataFrame, chunked: DataFrame, lines: DataFrame) -> DataFrame:
-    """``job_index, chunk, text``: the text of each retry unit, cut out of the description."""
-    spans = chunked.join(lines.select("line_id", "job_index", "char_start", "char_end"), ["job_index", "line_id"]).groupBy("job_index", "chunk").agg(F.min("char_start").alias("a"), F.max("char_end").alias("b"))
-    return spans.join(described.select("job_index", "description_normalized"), "job_index").select("job_index", "chunk", F.substr("description_normalized", F.col("a") + 1, F.col("b") - F.col("a")).alias("text"))
+    def part(head: Column, k: Column) -> Column:
+        a = F.get("_lines", head["i"])["char_start"]
+        b = F.get("_lines", F.coalesce(F.get("_starts", k + 1)["i"], F.size("_lines")) - 1)["char_end"]
+        return F.substr(text, a + 1, b - a)
+
+    return arrays.select(*keep, F.size("_lines").alias("n_lines"), F.transform("_starts", part).alias("chunks"))
+
+
+def chunk_texts(described: DataFrame) -> DataFrame:
+    """``job_index, chunk, text`` of each retry unit."""
+    return with_chunks(described, "job_index").select("job_index", F.posexplode("chunks").alias("chunk", "text"))
 
 
 def inspect(labelled: DataFrame, job_index: int) -> DataFrame:
@@ -110,17 +150,11 @@ def inspect(labelled: DataFrame, job_index: int) -> DataFrame:
 
 
 def split_near_middle(text: str) -> tuple[str, str] | None:
-    """Two parts of a text, cut after the sentence end nearest its middle, else at a near space, else in the middle."""
-    import re
-
-    if len(text) < 2:
-        return None
+    """Two parts of a text, cut at its best place: a sentence's end before a near space before the middle itself, each the nearer the better."""
     middle = len(text) // 2
-    ends = [m.end() for m in re.finditer(r"[.!?;\n]+\s+", text)]
-    if ends:
-        at = min(ends, key=lambda p: abs(p - middle))
-    else:
-        near = [p for p in (text.rfind(" ", max(1, middle - 400), middle), text.find(" ", middle, min(len(text) - 1, middle + 400))) if p > 0]
-        at = min(near, key=lambda p: abs(p - middle)) if near else middle
-    left, right = text[:at].strip(), text[at:].strip()
-    return (left, right) if left and right else None
+    spaces = range(max(1, middle - NEAR), min(len(text) - 1, middle + NEAR))
+    places = [(0, abs(m.end() - middle), m.end()) for m in _SENTENCE_END.finditer(text)]
+    places += [(1, abs(i - middle), i) for i in spaces if text[i] == " "]
+    at = min([*places, (2, 0, middle)])[2]
+    parts = text[:at].strip(), text[at:].strip()
+    return parts if all(parts) else None

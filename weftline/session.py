@@ -42,6 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` partitioned by ``keys`` into as many parts as the session shuffles into; windows and aggregates on the keys need no further shuffle.
+
+    Adaptive execution would merge the parts by their bytes; what follows here is dear in CPU for each byte, so they stay.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for checkpoints: the cluster's ``spark.checkpoint.dir``; an own one only where that is unset."""
     sc = spark.sparkContext
