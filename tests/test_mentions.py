@@ -122,10 +122,90 @@ class Failing:
 
 
 def test_recovery():
-    assert model_calls.extract_job(Failing(), "short text", 0) == ([{"skill_span": "shor"}], None)
-    found, error = model_calls.extract_job(Failing(), "A sentence here. " * 800, 0)
-    assert error is None and len(found) > 1
-    assert model_calls.extract_job(Failing(), "x" * 3500, 0)[1].startswith("unreadable_reply")
+    once = lambda t, n=1, chunks=(): model_calls.extract_job(Failing(), t, n, list(chunks), 0)
+    assert once("short text") == ([{"skill_span": "shor"}], None)
+    text = "A sentence here. " * 800
+    found, error = once(text, 1, [text[:7000], " ", text[7000:]])
+    assert error is None and len(found) > 2
+    assert once("x" * 3500)[1].startswith("unreadable_reply")
+    assert once("x" * 3500, 30, ["ok", "x" * 3500])[0][0] == {"skill_span": "ok"}
+    assert once("x" * 7000, 1, []) == ([], None)
+
+
+def test_extraction_reads_the_raw_text_first_then_chunks_by_section(spark):
+    class Recording:  # local, so that it is shipped by value
+        model = "recording"
+
+        def call(self, role, prompt, values, endpoint=0):
+            import json
+
+            return json.dumps({"mentions": [{"skill_span": values["text"][:6]}]}) if len(values["text"]) < 3000 else "{"
+
+    long = "Requirements:\n" + "x" * 2600 + "\nEducation:\n" + "y" * 2600 + "\n" + "z" * 2000
+    d = spark.createDataFrame([(1, "raw text", "normal"), (2, long, long), (3, "", "")], "job_index bigint, description_raw string, description_normalized string")
+    got = {}
+    for r in model_calls.extract(d, Recording(), window=2).orderBy("job_index", "mention_idx").collect():
+        got.setdefault(r.job_index, []).append((r.mention_idx, r.skill_span, r.error))
+    assert got[1] == [(0, "raw te", None)] and got[3] == [(-1, None, None)]
+    assert [x[1] for x in got[2]] == ["Requir", "Educat", "yyyyyy"]  # the second chunk is halved once
+
+
+def test_calls_keep_their_order_and_their_window():
+    import threading
+    import time
+
+    at_once, most, lock = 0, 0, threading.Lock()
+
+    def work(n, x):
+        nonlocal at_once, most
+        with lock:
+            at_once += 1
+            most = max(most, at_once)
+        time.sleep(0.002 * (x % 3))
+        with lock:
+            at_once -= 1
+        return n, x
+
+    assert list(model_calls.in_order(work, range(40), 3)) == [(i, i) for i in range(40)]
+    assert 1 < most <= 3
+
+
+def test_connections_stay_open_and_fail_over():
+    import http.server
+    import threading
+
+    ports, bodies = set(), []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"
+
+        def do_POST(self):
+            ports.add(self.client_address[1])
+            bodies.append(json.loads(self.rfile.read(int(self.headers["Content-Length"]))))
+            data = json.dumps({"choices": [{"message": {"content": "ok"}}]}).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        b = model_calls.HttpBackend(("http://127.0.0.1:9/v1", f"http://127.0.0.1:{server.server_port}/v1"), "Qwen-x", retries=1, timeout=5)
+        assert [b.call("verify", "q", {}, e) for e in (1, 1, 0)] == ["ok"] * 3
+        assert len(ports) == 1
+        assert bodies[0]["messages"][0]["role"] == "system" and bodies[0]["messages"][1]["content"] == "q\n/no_think"
+        assert bodies[0]["logit_bias"] == {"151667": -100} and bodies[0]["temperature"] == 0.05
+        plain = model_calls.HttpBackend(b.endpoints, "other").payload("extract", "q")[1]
+        assert "logit_bias" not in plain and plain["messages"][1]["content"] == "q"
+        with pytest.raises(model_calls.CallFailed):
+            model_calls.HttpBackend(("http://127.0.0.1:9",), "m", retries=1, backoff=0.0).call("verify", "q", {})
+    finally:
+        server.shutdown()
+        server.server_close()
 
 
 def test_stub_classification(spark):
