@@ -32,12 +32,82 @@ def test_store_resumes_by_key(spark, tmp_path):
     assert store.rerun_from("extract", "r2") == ["extract"] and store.runs() == []
 
 
+def test_batches_are_committed_on_their_own(spark, tmp_path):
+    store, asked = runs.Store(spark, str(tmp_path)), []
+    items = spark.range(100).withColumnRenamed("id", "job_index")
+
+    def run(todo):
+        n = todo.count()
+        if len(asked) == 2:
+            raise RuntimeError("crash")
+        asked.append(n)
+        return todo
+
+    with pytest.raises(RuntimeError):
+        store.load_or_run("extract", "r", "f", items, ["job_index"], run, batch_items=25)
+    kept = sum(asked)
+    assert store.read("extract", "r", "f").count() == kept > 0
+    asked.clear()
+    assert store.load_or_run("extract", "r", "f", items, ["job_index"], lambda t: (asked.append(t.count()), t)[1], batch_items=1000).count() == 100
+    assert asked == [100 - kept]
+
+
 def test_fingerprints_follow_their_upstream():
-    a = runs.fingerprints("m", "b", model_calls.PROMPTS, "1")
-    b = runs.fingerprints("m", "b", model_calls.PROMPTS | {"requirement": "new"}, "1")
-    assert [s for s in runs.STAGES if a[s] != b[s]] == ["requirement"]
-    c = runs.fingerprints("m", "b", model_calls.PROMPTS | {"verify": "new"}, "1")
-    assert [s for s in runs.STAGES if a[s] != c[s]] == ["verify", "requirement", "hardsoft"]
+    part = lambda model="m", prompt="p": {"model": model, "backend": "b", "prompts": [prompt], "settings": {}}
+    base = {s: part() for s in runs.STAGES}
+    a = runs.fingerprints(base, "1", "c")
+    changed = lambda **kw: [s for s in runs.STAGES if a[s] != runs.fingerprints(base | kw, "1", "c")[s]]
+    assert changed(requirement=part(prompt="new")) == ["requirement"]
+    assert changed(hardsoft=part(model="new")) == ["hardsoft"]
+    assert changed(verify=part(model="new")) == ["verify", "requirement", "hardsoft"]
+    assert changed(extract=part(prompt="new")) == list(runs.STAGES)
+    assert all(a[s] != runs.fingerprints(base, "1", "other")[s] for s in runs.STAGES)
+
+
+def counting(name):
+    """A stub that leaves a line in a file for every call."""
+
+    class Counting:  # local, so that it is shipped by value
+        model = name
+        stub = model_calls.StubBackend(("Go", "Rust"))
+
+        def call(self, role, prompt, values, endpoint=0):
+            with open(f"{self.model}.{role}", "a") as f:
+                f.write("x\n")
+            return self.stub.call(role, prompt, values, endpoint)
+
+    return Counting()
+
+
+def small_jobs(spark):
+    texts = [f"Requirements:\nExperience with Go and Rust, case {i}." for i in range(12)]
+    return spark.createDataFrame([(i, str(i), "Dev", t) for i, t in enumerate(texts)], "job_index bigint, id string, title_raw string, description_raw string")
+
+
+def test_a_changed_classifier_keeps_the_other_stages(spark, tmp_path):
+    calls = lambda name: sum(1 for _ in open(f"{tmp_path}/{name}")) if (tmp_path / name).exists() else 0
+    backend = lambda name: counting(f"{tmp_path}/{name}")
+    cfg = lambda last: pipeline.Config(backend("e"), backend("v"), backend("r"), backend(last))
+    first = pipeline.run_pipeline(spark, small_jobs(spark), cfg("h1"), str(tmp_path / "out"), "r", write_reports=False)
+    before = [calls(x) for x in ("e.extract", "v.verify", "r.requirement", "h1.hardsoft")]
+    assert before[0] == 12 and before[1] == 24 and min(before) > 0
+    again = pipeline.run_pipeline(spark, small_jobs(spark), cfg("h2"), str(tmp_path / "out"), "r", write_reports=False)
+    assert [calls(x) for x in ("e.extract", "v.verify", "r.requirement", "h1.hardsoft")] == before
+    assert calls("h2.hardsoft") == before[3] and again["totals"] == first["totals"]
+    summary = json.loads((tmp_path / "out" / "weftline_summary_run_r.json").read_text())
+    assert summary["totals"] == again["totals"] and {c["model"] for c in summary["calls"]} >= {f"{tmp_path}/h2"}
+
+
+def test_a_retry_is_kept_by_the_next_resume(spark, tmp_path):
+    good, bad = model_calls.StubBackend(("Go", "Rust")), model_calls.StubBackend(("Go", "Rust"), fail_every=2)
+    run = lambda b, **kw: pipeline.run_pipeline(spark, small_jobs(spark), pipeline.Config(b, good, good, good), str(tmp_path), "r", write_reports=False, **kw)["totals"]
+    first = run(bad)
+    assert first["jobs_failed"] > 0
+    retried = run(good, retry_errors=True)
+    assert retried["jobs_failed"] == 0 and retried["total_mentions"] == 24 > first["total_mentions"]
+    assert run(good) == retried
+    files = [p for p in (tmp_path / "stages" / "stage=extract" / "run_id=r").iterdir()]
+    assert len(files) == 1  # one version, under its fingerprint
 
 
 def test_pipeline_end_to_end(spark, tmp_path):
@@ -105,10 +175,32 @@ def test_sinks(spark, tmp_path):
     assert sinks.overlay(base, spark.createDataFrame([(1, "new")], base.schema)).first().x == "new"
 
 
+def test_settings_come_from_the_environment(tmp_path):
+    from weftline.plans import cli
+
+    (tmp_path / ".env").write_text("# comment\nexport WEFTLINE_KIND='ollama'\nWEFTLINE_ENDPOINTS=http://a,http://b\nOTHER=1\n")
+    got = cli.environment({"WEFTLINE_KIND": "openai", "HOME": "/"}, str(tmp_path / ".env"))
+    assert got == {"kind": "openai", "endpoints": "http://a,http://b"}
+    a = cli.parser(got).parse_args(["run", "-i", "x", "-o", "y", "--classifier-model", "m"])
+    assert (a.endpoint, a.kind, a.classifier_model) == (["http://a", "http://b"], "openai", "m")
+    assert cli.eta(10, 30, 60.0) == "2m00s" and cli.eta(0, 5, 1.0) == "unknown"
+
+
 def test_core_does_not_need_the_subpackage():
     import subprocess
     import sys
     from pathlib import Path
 
-    code = "import sys; sys.modules['weftline.llm'] = None\nimport __spark_entry__ as e\ntry:\n    e.queries()\nexcept ImportError: pass\nimport weftline.plans.queries, weftline.plans.cli, weftline.streaming.incremental, weftline.sources.sinks\nassert not [m for m in sys.modules if m.startswith('weftline.llm.')]"
+    from weftline.plans import queries as core
+
+    names = sorted(core.queries())
+    code = (
+        "import sys, importlib.abc\n"
+        "class Gone(importlib.abc.MetaPathFinder):\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name.startswith('weftline.llm'): raise ModuleNotFoundError(name, name='weftline.llm')\n"
+        "sys.meta_path.insert(0, Gone())\n"
+        f"import __spark_entry__ as e\nassert sorted(e.queries()) == {names!r}\nassert set(e.oracle_sql()) <= set(e.queries())\n"
+        "import weftline.plans.cli, weftline.streaming.incremental\nassert not [m for m in sys.modules if m.startswith('weftline.llm')]"
+    )
     assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parent.parent).returncode == 0

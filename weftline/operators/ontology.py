@@ -102,3 +102,8 @@ def duplicate_pairs(ontology: DataFrame, min_jobs: int = 2, min_contained_jobs:
     inside = inside.select(F.col("base").alias("key_a"), F.col("k").alias("key_b"), F.col("base_skill").alias("skill_a"), F.col("base_jobs").alias("skill_a_jobs"), F.col("skill").alias("skill_b"), F.col("jobs").alias("skill_b_jobs"), F.lit("substring_containment").alias("reason"), F.when(F.col("base_jobs") >= F.col("jobs"), F.col("base_skill")).otherwise(F.col("skill")).alias("suggested_target"), F.lit(5).alias("p"))
     best = F.row_number().over(Window.partitionBy(F.least("key_a", "key_b"), F.greatest("key_a", "key_b")).orderBy("p", "key_a"))
     return affix.unionByName(inside).withColumn("_n", best).where("_n = 1").drop("_n", "p")
+
+
+def by_jobs(pairs: DataFrame) -> DataFrame:
+    """Pairs in the order a reader should look at them: those of most jobs first."""
+    return pairs.orderBy(F.desc(F.col("skill_a_jobs") + F.col("skill_b_jobs")), "key_a", "key_b")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.functions.ranking import global_rank
 from weftline.functions.text import half_up, strip
 
 # Class bounds of the reports.
@@ -13,6 +14,7 @@ DIFFERENCE_CLASSES = ((None, -51), (-50, -21), (-20, -11), (-10, -6), (-5, -1),
 LOW_CONFIDENCE = 0.55
 BIG_DIFFERENCE = 5
 WINDOW_ROWS, JUMP, JUMP_BELOW, DROP, DROP_ABOVE, APART, APART_MERGED = 50, 15.0, 100.0, 2.0, 5.0, 100, 200
+BUCKET = 100_000  # rows of a log in one task
 
 
 def quality_histogram(assessed: DataFrame) -> DataFrame:
@@ -144,6 +146,11 @@ def largest_differences(compared: DataFrame, k: int = 20) -> DataFrame:
     return compared.where("side = 'both'").orderBy(F.desc(F.abs("difference")), "job_index").limit(k)
 
 
+def zero_jobs(per_job: DataFrame, k: int = 30) -> DataFrame:
+    """The first k jobs without mentions, of ``job_index, n`` (a top-k report)."""
+    return per_job.where("n = 0").select("job_index").orderBy("job_index").limit(k)
+
+
 def top_overlap(a: DataFrame, b: DataFrame, column: str, k: int = 100) -> DataFrame:
     """``value, rank_a, rank_b, n_a, n_b, side`` of the union of both runs' k most frequent values."""
     x, y = (top_values(df, column, k).select("value", F.col("rank").alias(f"rank_{s}"), F.col("n").alias(f"n_{s}")) for df, s in ((a, "a"), (b, "b")))
@@ -184,22 +191,36 @@ def last_rows(calls: DataFrame, n: int = 100) -> DataFrame:
     return calls.orderBy(F.desc("ts"), F.desc("call_id")).limit(n)
 
 
-def transitions(calls: DataFrame, by: str = "model") -> DataFrame:
+def positions(calls: DataFrame, by: str) -> DataFrame:
+    """``calls`` with ``position`` in their log ``by``, from 0, and ``n``, the log's length; no log is brought into one task."""
+    ranked = global_rank(calls.where(F.col(by).isNotNull()), [by, "ts", "call_id"], "_rank")
+    logs = ranked.groupBy(by).agg(F.min("_rank").alias("_first"), F.count("*").alias("n"))
+    return ranked.join(logs, by).withColumn("position", F.col("_rank") - F.col("_first")).drop("_rank", "_first")
+
+
+def transitions(calls: DataFrame, by: str = "model", bucket: int = BUCKET) -> DataFrame:
     """``<by>, position, ts, before, after, kind`` where the speed jumps or the reply ratio drops, per log ``by``.
 
-    Averages of WINDOW_ROWS calls before and from each call on. A log is ordered as a whole, so its window is one partition;
-    separate logs (models, endpoints) run side by side.
+    Averages of WINDOW_ROWS calls before and from each call on. Logs are cut into buckets of positions, and the rows within
+    WINDOW_ROWS of a bucket's edge go to the neighbour too, so a log of any length is many groups. Calls without ``by`` belong to no log.
     """
-    order = Window.partitionBy(by).orderBy("ts", "call_id")
-    back, ahead = order.rowsBetween(-WINDOW_ROWS, -1), order.rowsBetween(0, WINDOW_ROWS - 1)
-    mean = lambda c, w: F.sum(F.col(c).cast("decimal(18,6)")).over(w).cast("double") / WINDOW_ROWS
-    placed = calls.withColumn("ratio", F.col("resp_chars") / F.greatest("eval_tokens", F.lit(1))).select(
-        by, "ts", (F.row_number().over(order) - 1).alias("position"), F.count("*").over(Window.partitionBy(by)).alias("n"), mean("tok_s", back).alias("speed_before"), mean("tok_s", ahead).alias("speed_after"), mean("ratio", back).alias("ratio_before"), mean("ratio", ahead).alias("ratio_after")
-    )
-    inside = placed.where((F.col("position") >= WINDOW_ROWS) & (F.col("position") < F.col("n") - WINDOW_ROWS))
-    jump = inside.where((F.col("speed_after") - F.col("speed_before") > JUMP) & (F.col("speed_before") < JUMP_BELOW)).select(by, "position", "ts", half_up(F.col("speed_before")).alias("before"), half_up(F.col("speed_after")).alias("after"), F.lit("speed").alias("kind"))
-    drop = inside.where((F.col("ratio_before") - F.col("ratio_after") > DROP) & (F.col("ratio_before") > DROP_ABOVE)).select(by, "position", "ts", half_up(F.col("ratio_before")).alias("before"), half_up(F.col("ratio_after")).alias("after"), F.lit("ratio").alias("kind"))
-    return jump.unionByName(drop)
+    w = WINDOW_ROWS
+    placed = positions(calls, by).withColumn("ratio", F.col("resp_chars") / F.greatest("eval_tokens", F.lit(1))).select(by, "ts", "position", "n", "tok_s", "ratio")
+    home = F.floor(F.col("position") / bucket)
+    near = F.array_distinct(F.array(home, F.floor((F.col("position") - w) / bucket), F.floor((F.col("position") + w) / bucket)))
+    spread = placed.select("*", home.alias("home"), F.explode(near).alias("bucket"))
+    order = Window.partitionBy(by, "bucket").orderBy("position")
+    back, ahead = order.rowsBetween(-w, -1), order.rowsBetween(0, w - 1)
+    mean = lambda c, over: F.sum(F.col(c).cast("decimal(18,6)")).over(over).cast("double") / w
+    averaged = spread.select(by, "ts", "position", "n", "home", "bucket", mean("tok_s", back).alias("speed_before"), mean("tok_s", ahead).alias("speed_after"), mean("ratio", back).alias("ratio_before"), mean("ratio", ahead).alias("ratio_after"))
+    inside = averaged.where((F.col("home") == F.col("bucket")) & (F.col("position") >= w) & (F.col("position") < F.col("n") - w))
+
+    def change(what: str, steep: Column) -> Column:
+        return F.when(steep, F.struct(half_up(F.col(f"{what}_before")).alias("before"), half_up(F.col(f"{what}_after")).alias("after"), F.lit(what).alias("kind")))
+
+    jump = change("speed", (F.col("speed_after") - F.col("speed_before") > JUMP) & (F.col("speed_before") < JUMP_BELOW))
+    drop = change("ratio", (F.col("ratio_before") - F.col("ratio_after") > DROP) & (F.col("ratio_before") > DROP_ABOVE))
+    return inside.select(by, "position", "ts", F.explode(F.array_compact(F.array(jump, drop))).alias("c")).select(by, "position", "ts", "c.*")
 
 
 def keep_apart(found: DataFrame, by: list[str], apart: int = APART) -> DataFrame:
@@ -216,8 +237,7 @@ def phases(calls: DataFrame, by: str = "model") -> DataFrame:
     apart = keep_apart(transitions(calls, by), [by, "kind"])
     merged = keep_apart(apart.select(by, "position", "ts"), [by], APART_MERGED)
     cuts = merged.groupBy(by).agg(F.slice(F.array_sort(F.collect_list("position")), 1, 2).alias("cuts"))
-    order = Window.partitionBy(by).orderBy("ts", "call_id")
-    placed = calls.select(by, (F.row_number().over(order) - 1).alias("position")).join(cuts, by, "left")
+    placed = positions(calls, by).select(by, "position").join(cuts, by, "left")
     n = F.coalesce(F.size("cuts"), F.lit(0))
     phase = F.when((n == 0) | (F.col("position") < F.get("cuts", F.lit(0))), 1).when((n == 2) & (F.col("position") < F.get("cuts", F.lit(1))), 2).otherwise(3)
     return placed.groupBy(by, phase.alias("phase")).agg(F.count("*").alias("calls"), F.min("position").alias("from_position"))

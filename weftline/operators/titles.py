@@ -14,12 +14,16 @@ HARD_WEIGHT, SOFT_WEIGHT, CONFIDENCE_FLOOR = 1.0, 0.5, 0.6
 
 
 def titled(jobs: DataFrame, normalization: DataFrame | None = None) -> DataFrame:
-    """``job_index, job, title`` of the jobs with a title: lower-cased, or its entry in ``raw_title, normalized_title``; jobs without entry are left out."""
+    """``job_index, job, title`` of the jobs with a title: lower-cased, or its entry in ``raw_title, normalized_title``; jobs without entry are left out.
+
+    Of several entries of a raw title the last by ``position`` holds, or the greatest where the table has no such column.
+    """
     rows = jobs.select("job_index", F.coalesce(F.col("job_id").cast("string"), F.lit("")).alias("job"), strip(F.coalesce("title_raw", F.lit(""))).alias("raw")).where("raw != ''")
     if normalization is None:
         return rows.select("job_index", "job", F.lower("raw").alias("title"))
-    table = normalization.select(strip(F.col("raw_title")).alias("raw"), strip(F.col("normalized_title")).alias("title")).where("raw != '' and title != ''")
-    return rows.join(table.groupBy("raw").agg(F.max("title").alias("title")), "raw").select("job_index", "job", "title")
+    place = F.col("position") if "position" in normalization.columns else F.lit(0)
+    table = normalization.select(strip(F.col("raw_title")).alias("raw"), strip(F.col("normalized_title")).alias("title"), place.alias("at")).where("raw != '' and title != ''")
+    return rows.join(table.groupBy("raw").agg(F.max(F.struct("at", "title"))["title"].alias("title")), "raw").select("job_index", "job", "title")
 
 
 def unmapped(jobs: DataFrame, normalization: DataFrame) -> DataFrame:

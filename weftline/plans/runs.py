@@ -2,6 +2,8 @@
 
 A stage is a Parquet folder ``stage=…/run_id=…/fingerprint=…`` of parts; its manifest rows are JSON files beside it. A resumed
 stage computes only the items without a row under the same fingerprint, by key, so a lost or corrupt part costs its own rows only.
+Items are computed in batches, each committed on its own, so a crash loses one batch of calls. Rows that take the place of older ones are written
+as a new version of the folder, which is then exchanged for the old one by renaming.
 """
 
 from __future__ import annotations
@@ -17,10 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.scoring import fingerprint
+from weftline.operators.assemble import upsert
+from weftline.session import cut
 
 # Stages in order, and what each is made from.
 STAGES = ("extract", "verify", "requirement", "hardsoft")
 UPSTREAM = {"extract": None, "verify": "extract", "requirement": "verify", "hardsoft": "verify"}
+BATCH_ITEMS = 50_000  # items of a stage that are committed together
 
 
 @dataclass
@@ -33,6 +38,14 @@ class Manifest:
     complete: bool
     started: float
     ended: float
+    errors: int = 0
+
+
+def failed_rows(df: DataFrame) -> int:
+    """Rows of a stage that hold an error in place of a result."""
+    if "error" in df.columns:
+        return df.where(F.col("error").isNotNull()).count()
+    return df.where(F.col("status").isin("error", "parse_failed")).count() if "status" in df.columns else 0
 
 
 class Store:
@@ -62,9 +75,12 @@ class Store:
 
     def read(self, stage: str, run_id: str, print_: str) -> DataFrame | None:
         p = self.path(stage, run_id, print_)
+        kept = p.with_name(f"{p.name}.old")
+        if not p.exists() and kept.exists():  # a crash between the two renamings of ``replace``
+            kept.rename(p)
         return self.spark.read.parquet(str(p)) if p.exists() and any(p.rglob("*.parquet")) else None
 
-    def load_or_run(self, stage: str, run_id: str, print_: str, items: DataFrame, keys: list[str], run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def load_or_run(self, stage: str, run_id: str, print_: str, items: DataFrame, keys: list[str], run: Callable[[DataFrame], DataFrame], batch_items: int = BATCH_ITEMS) -> DataFrame:
         """The stage's rows: as they are if finished, else with the missing items computed and appended."""
         m, old = self.manifest(stage, run_id), self.read(stage, run_id, print_)
         expected = items.count()
@@ -72,11 +88,32 @@ class Store:
             return old
         began = time.time()
         todo = items if old is None else items.join(old.select(*keys).distinct(), keys, "left_anti")
-        run(todo).write.mode("append").parquet(str(self.path(stage, run_id, print_)))
+        parts = -(-(expected if old is None else todo.count()) // batch_items)
+        if parts > 1:
+            todo = cut(todo)
+        share = F.pmod(F.xxhash64(*keys, F.lit("batch")), F.lit(max(1, parts)))
+        for k in range(max(1, parts)):
+            batch = todo.where(share == k) if parts > 1 else todo
+            run(batch).sortWithinPartitions(*keys).write.mode("append").parquet(str(self.path(stage, run_id, print_)))
+        return self.finished(stage, run_id, print_, expected, began)
+
+    def finished(self, stage: str, run_id: str, print_: str, expected: int, began: float) -> DataFrame:
         done = self.spark.read.parquet(str(self.path(stage, run_id, print_)))
-        self.put(Manifest(stage, run_id, print_, expected, done.count(), True, began, time.time()))
+        self.put(Manifest(stage, run_id, print_, expected, done.count(), True, began, time.time(), failed_rows(done)))
         return done
 
+    def replace(self, stage: str, run_id: str, print_: str, rows: DataFrame, keys: list[str]) -> DataFrame:
+        """The stage with ``rows`` in place of those of the same keys; a later resume finds the new ones."""
+        began, p = time.time(), self.path(stage, run_id, print_)
+        m = self.manifest(stage, run_id)
+        fresh, kept = p.with_name(f"{p.name}.new"), p.with_name(f"{p.name}.old")
+        new = cut(rows)  # read twice below, and perhaps made by calls
+        upsert(self.read(stage, run_id, print_), new, keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(str(fresh))
+        p.rename(kept)
+        fresh.rename(p)
+        shutil.rmtree(kept)
+        return self.finished(stage, run_id, print_, m.expected if m else 0, began)
+
     def rerun_from(self, stage: str, run_id: str) -> list[str]:
         """Forget a stage and all later ones."""
         dropped = []
@@ -126,17 +163,20 @@ class Store:
         out = []
         for s in STAGES:
             if m := self.manifest(s, run_id):
-                out.append({"stage": s, "records": m.records, "expected": m.expected, "percent": round(100 * m.records / max(1, m.expected), 1), "complete": m.complete, "seconds": round(m.ended - m.started, 1)})
+                out.append({"stage": s, "records": m.records, "expected": m.expected, "percent": round(100 * m.records / max(1, m.expected), 1), "complete": m.complete, "seconds": round(m.ended - m.started, 1), "errors": m.errors})
         return out
 
 
-def fingerprints(model: str, backend: str, prompts: dict[str, str], version: str, content: str = "", settings: dict | None = None, strict: bool = True) -> dict[str, str]:
-    """A fingerprint per stage, each with its upstream's; strict ones know the input's content and all settings too."""
+def fingerprints(parts: dict[str, dict], version: str, content: str = "") -> dict[str, str]:
+    """A fingerprint per stage from its own model, backend, prompts and settings, and its upstream's; the first also knows the input's content.
+
+    So a change of one classifier leaves all other stages as they are.
+    """
     out: dict[str, str] = {}
     for s in STAGES:
-        up = UPSTREAM[s]
-        extra = ({"content": content, **(settings or {})} if strict else {}) or None
-        out[s] = fingerprint(s, model, backend, [prompts[s]], out[up] if up else None, version, extra)
+        own, up = parts[s], UPSTREAM[s]
+        settings = dict(own.get("settings") or {}) | ({} if up or not content else {"content": content})
+        out[s] = fingerprint(s, own["model"], own["backend"], list(own["prompts"]), out[up] if up else None, version, settings or None)
     return out
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.functions.text import DESCRIPTION_KEYS, TITLE_KEYS
+from weftline.functions.text import DESCRIPTION_KEYS, TITLE_KEYS, strip
 
 # The format of a call log's lines, and where a file name has its run id.
 CALL_LINE = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),\d+ - DEBUG - .* - LLM (\S+) \[(\w+)\] ([\d.]+)s \| prompt=(\d+) chars, resp=(\d+) chars, eval=(\d+) tok, ([\d.]+) tok/s, total=([\d.]+)s"
@@ -94,7 +94,7 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
     else:
         read = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.csv(path, header=True)
         df = read.select(F.monotonically_increasing_id().alias("at"), F.col("Raw_title").alias("raw_title"), F.col("Normalized_title").alias("normalized_title"))
-    clean = df.select("at", F.trim("raw_title").alias("raw_title"), F.trim("normalized_title").alias("normalized_title")).where("raw_title != '' and normalized_title != ''")
+    clean = df.select("at", strip(F.col("raw_title")).alias("raw_title"), strip(F.col("normalized_title")).alias("normalized_title")).where("raw_title != '' and normalized_title != ''")
     return clean.groupBy("raw_title").agg(F.max_by("normalized_title", "at").alias("normalized_title"))
 
 

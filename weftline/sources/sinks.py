@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import logging
 import os
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LOG = logging.getLogger("weftline")
+
 # The columns of the mention exports.
 MENTION_JSON = "run_id job_id line_id mention_id title_raw section source_line skill_span normalized_candidate hard_soft requirement_level char_start char_end evidence raw_model_confidence final_confidence extractor_model verifier_status requirement_status hardsoft_status rules_fired is_skill pipeline_audit".split()
 MENTION_CSV = "run_id job_id line_id mention_id title_raw section source_line skill_span normalized_candidate hard_soft requirement_level char_start char_end evidence raw_model_confidence final_confidence extractor_model verifier_status verifier_model requirement_status requirement_model hardsoft_status hardsoft_model rules_fired is_skill pipeline_audit".split()
@@ -83,6 +86,21 @@ def write_counts(df: DataFrame, path: str, legacy_format: bool = False) -> None:
             w.writerows(tuple(r) for r in df.toLocalIterator())
 
 
+def summary_lines(summary: dict) -> list[str]:
+    """A run's summary as lines of a log."""
+    out = [f"run {summary['run_id']}, version {summary['version']}, {summary['seconds']} s", "totals: " + ", ".join(f"{k} {v}" for k, v in summary["totals"].items())]
+    out += [f"stage {s['stage']}: {s['records']} of {s['expected']} ({s['percent']} %), {s['errors']} errors, {s['seconds']} s" for s in summary["stages"]]
+    return out + [f"model {c['model']}: {c['calls']} calls, {c['seconds'] or 0:.1f} s" for c in summary["calls"]]
+
+
+def write_summary(summary: dict, path: str) -> None:
+    """The summary as one JSON file, and as a block in the log."""
+    Path(os.path.dirname(path) or ".").mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(summary, default=str, indent=2), encoding="utf-8")
+    for line in summary_lines(summary):
+        LOG.info(line)
+
+
 def nested_mentions(jobs: DataFrame, mentions: DataFrame) -> DataFrame:
     """Jobs with ``skill_mentions``, an array by mention_idx; a job's mentions are bounded by its text."""
     own = F.array_sort(F.collect_list(F.struct("mention_idx", *[c for c in mentions.columns if c not in ("job_index", "mention_idx")])))
