@@ -6,8 +6,11 @@ import sys
 import unicodedata
 from functools import cache
 
+from weftline.functions import scoring as S
 from weftline.functions import text as T
+from weftline.operators import candidates as C
 from weftline.operators import reports as R
+from weftline.sources.sinks import MENTION_CSV
 
 _WS = r"\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 _NW = r"[^\p{L}\p{M}\p{Nd}\p{Pc}\x{200C}\x{200D}]"
@@ -139,6 +142,7 @@ def statements() -> dict[str, str]:
             coalesce(m.char_start >= 0 AND substring(s1.source_line, m.char_start - s1.line_start + 1, length(m.skill_span)) = m.skill_span, false) AS offset_valid, coalesce(m.evidence <> '' AND contains(s1.source_line, m.evidence), false) AS evidence_ok
             FROM m JOIN s1 USING (line_id))"""
     done = lambda x: f"({x}_status IN ('accepted', 'completed') AND {x}_confidence IS NOT NULL)"
+    rule_bonus = "+ 0.0::DOUBLE"
     conf = f"""{merged}, f0 AS (SELECT *, CASE verifier_status WHEN 'parse_failed' THEN raw - 0.18::DOUBLE WHEN 'error' THEN raw - 0.12::DOUBLE ELSE CASE WHEN verifier_status IN ('accepted', 'rejected') AND verifier_confidence IS NOT NULL THEN 0.45::DOUBLE * raw + 0.55::DOUBLE * verifier_confidence ELSE raw END END AS s0,
             {done('requirement')}::INT + {done('hardsoft')}::INT AS n, (CASE WHEN {done('requirement')} THEN requirement_confidence ELSE 0 END + CASE WHEN {done('hardsoft')} THEN hardsoft_confidence ELSE 0 END) AS total FROM g),
         f AS (SELECT mention_id, greatest(0.0::DOUBLE, least(1.0::DOUBLE, floor((CASE WHEN n > 0 THEN 0.7::DOUBLE * s0 + 0.3::DOUBLE * (total / n) ELSE s0 END - CASE requirement_status WHEN 'parse_failed' THEN 0.08::DOUBLE WHEN 'error' THEN 0.06::DOUBLE ELSE 0.0::DOUBLE END - CASE hardsoft_status WHEN 'parse_failed' THEN 0.08::DOUBLE WHEN 'error' THEN 0.06::DOUBLE ELSE 0.0::DOUBLE END
@@ -208,6 +212,88 @@ def statements() -> dict[str, str]:
     def top(cond: str, k: int, s: str) -> str:
         return f"(SELECT normalized_candidate AS value, count(*) AS n_{s}, row_number() OVER (ORDER BY count(*) DESC, normalized_candidate) AS rank_{s} FROM m WHERE normalized_candidate IS NOT NULL AND {cond} GROUP BY 1 QUALIFY rank_{s} <= {k})"
 
+    # candidates: RE2's boundary is one of ASCII, so for patterns of ASCII tokens other letters are read as underscores first
+    stops = ", ".join(f"'{w}'" for w in sorted(C.STOP_WORDS))
+
+    def stop(w: str) -> str:
+        return f"(length({w}) < 2 OR lower({w}) IN ({stops}) OR (lower({w}) LIKE '%ing' AND length({w}) > 5 AND lower({w})[:-4] IN ({stops})) OR (lower({w}) LIKE '%s' AND length({w}) > 4 AND lower({w})[:-2] IN ({stops})))"
+
+    def tidy(c: str) -> str:
+        return f"trim(regexp_replace({strip(c)}, '[{_WS}]+', ' ', 'g'), ' ' || chr(9) || '.;:')"
+
+    raw = lambda p: p.replace(r"\s", f"[{_WS}]").replace(f"[A-Za-z0-9+.#[{_WS}]\\-]", f"[A-Za-z0-9+.#{_WS}\\-]").replace(f"[:[{_WS}]]", f"[:{_WS}]").replace("'", "''")
+    shape = "(regexp_matches(f, '[0-9+#.]') OR regexp_matches(f, '^[A-Z]{2,10}$') OR regexp_matches(f, '" + C.TOOLISH + "') OR regexp_matches(f, '[a-z][A-Z]|[A-Z][a-z]+[A-Z]'))"
+
+    def mined(source: str) -> str:
+        """Common table expressions from ``source`` (lines with labels) to ``mc``, the candidates."""
+        found = [f"SELECT *, {i} AS r, '{name}' AS rule, unnest(regexp_extract_all(text, '{raw(p)}', 1, 'i')) AS f, generate_subscripts(regexp_extract_all(text, '{raw(p)}', 1, 'i'), 1) AS k FROM ml" for i, (name, p) in enumerate(C.PATTERNS.items())]
+        phrase = f"SELECT * FROM (SELECT *, 4 AS r, 'prep_phrase_strong' AS rule, unnest(regexp_extract_all(text, '{raw(C.PHRASE)}', 1, 'i')) AS f, generate_subscripts(regexp_extract_all(text, '{raw(C.PHRASE)}', 1, 'i'), 1) AS k FROM ml) WHERE length({strip('f')}) >= 2 AND NOT {stop('string_split_regex(' + strip('f') + ', ' + chr(39) + '[' + _WS + ']+' + chr(39) + ')[1]')}"
+        tokens = f"SELECT * FROM (SELECT *, 5 AS r, 'comma_list_token' AS rule, unnest(regexp_extract_all(plain, '{raw(C.LIST_TOKEN)}', 1)) AS f, generate_subscripts(regexp_extract_all(plain, '{raw(C.LIST_TOKEN)}', 1), 1) AS k FROM ml WHERE allowed AND regexp_matches(plain, '{raw(C.TWO_IN_A_LIST)}')) WHERE length(f) BETWEEN 2 AND 42 AND {shape} AND NOT {stop('f')}"
+
+        def placed(frm: str, to: str) -> str:
+            return f"""{to}w AS (SELECT * EXCLUDE (f), {tidy('f')} AS w FROM {frm}),
+            {to}p AS (SELECT * EXCLUDE (w), w AS t, strpos(text, w) - 1 AS pos, 0 AS k2, 0 AS k3 FROM {to}w WHERE length(w) >= 2 AND contains(text, w) UNION ALL
+                SELECT * EXCLUDE (w, parts, k2, t), t, unnest(list_filter(range(length(text)), lambda i: substring(text, i + 1, length(t)) = t)) AS pos, k2, 0 AS k3 FROM
+                    (SELECT *, unnest(list_transform(parts, lambda x: {tidy('x')})) AS t, generate_subscripts(parts, 1) AS k2 FROM (SELECT *, string_split_regex(w, '(?i){raw(C.LIST_SPLIT)}') AS parts FROM {to}w WHERE length(w) >= 2 AND NOT contains(text, w))) WHERE length(t) >= 2),
+            {to}c AS (SELECT * FROM {to}p WHERE NOT {stop('t')} QUALIFY row_number() OVER (PARTITION BY job_index, line_id, line_index, pos, t ORDER BY r, k, k2, pos) = 1)"""
+
+        return f"""ml AS (SELECT job_index, line_id, line_index, section, text, boilerplate_label, char_start, regexp_replace(regexp_replace(text, '[^\\x00-\\x7F\\P{{L}}]', '_', 'g'), '[^\\x00-\\x7F\\P{{N}}]', '_', 'g') AS plain, regexp_matches(text, '(?i){raw(C.CUES)}') AS cued, lower(section) IN ({", ".join(f"'{x}'" for x in C.REQUIREMENT_SECTIONS)}) OR regexp_matches(text, '(?i){raw(C.CUES)}') AS allowed
+                FROM {source} WHERE NOT (boilerplate_label IN ('likely_legal', 'likely_benefits') AND length(text) < 200)),
+            mf AS ({' UNION ALL '.join([*found, phrase, tokens])}), {placed('mf', 'a')},
+            mt AS (SELECT *, 6 AS r, 'post_colon_fragment' AS rule, {strip("substring(text, strpos(text, ':') + 1)")} AS f, 1 AS k FROM ml WHERE length(text) > 15 AND contains(text, ':') AND cued AND (allowed OR boilerplate_label = 'skills_relevant') AND NOT EXISTS (SELECT 1 FROM ac WHERE ac.job_index = ml.job_index AND ac.line_id = ml.line_id)),
+            mu AS (SELECT * FROM mt WHERE length(f) > 3 AND length(f) < 120), {placed('mu', 'b')},
+            mc AS (SELECT job_index, line_id, (row_number() OVER (PARTITION BY job_index, line_id ORDER BY r, k, k2, pos) - 1)::INT AS ordinal, t AS candidate_text, (char_start + pos)::INT AS char_start, (char_start + pos + length(t))::INT AS char_end, rule AS rule_source, section, substring(text, greatest(pos - 40, 0) + 1, 200) AS context_window FROM (SELECT * FROM ac UNION ALL SELECT * FROM bc))"""
+
+    labelled_mc = f"{labelled}, {mined('ll')}"
+    stored_mc = f"{mentions}, sl AS (SELECT * REPLACE (coalesce(boilerplate_label, 'uncertain') AS boilerplate_label) FROM (SELECT DISTINCT * FROM parsed_lines)), {mined('sl')}"
+    fired = f"rf AS (SELECT m.mention_id, list(DISTINCT rule_source) AS rules, list(rule_source ORDER BY ordinal) AS ordered FROM m JOIN mc ON m.line_id = mc.line_id AND mc.char_start < m.char_end AND m.char_start < mc.char_end WHERE m.char_start >= 0 GROUP BY 1)"
+    ruled = conf.replace("FROM m JOIN s1 USING (line_id))", f"FROM m JOIN s1 USING (line_id)), sl AS (SELECT * REPLACE (coalesce(boilerplate_label, 'uncertain') AS boilerplate_label) FROM s), {mined('sl')}, {fired}, g2 AS (SELECT g.*, coalesce(len(rules), 0) AS n_rules FROM g LEFT JOIN rf USING (mention_id))", 1)
+    with_rules = ruled.replace("AS total FROM g)", "AS total FROM g2)").replace("f AS (SELECT mention_id,", "f AS (SELECT mention_id, n_rules,").replace(rule_bonus, f"+ least({S.RULES_AT_MOST}::DOUBLE, n_rules * {S.RULE_WORTH}::DOUBLE)")
+    firsts = "array_to_string(list_filter(ordered, lambda x, i: list_position(ordered, x) = i), ';')"
+
+    # spans on lines: a mention's places in order of preference, and a walk along the mentions of one span
+    grounded = f"""{mentions}, gs AS (SELECT DISTINCT * FROM parsed_lines), ga AS (SELECT job_index, mention_idx, skill_span AS span, CASE WHEN {strip("coalesce(evidence, '')")} <> '' THEN evidence END AS ctx, lower(CASE WHEN {strip("coalesce(section, '')")} <> '' THEN section ELSE 'General' END) AS hint FROM m WHERE {strip("coalesce(skill_span, '')")} <> ''),
+        gl AS (SELECT ga.*, gs.line_index, gs.line_id, gs.text, gs.char_start, contains(text, span) AS exact, CASE WHEN lower(coalesce(gs.section, '')) = hint THEN 1 ELSE 2 END AS rank, list_filter(range(length(text)), lambda i: CASE WHEN contains(text, span) THEN substring(text, i + 1, length(span)) = span ELSE substring(lower(text), i + 1, length(span)) = lower(span) END) AS spots FROM ga JOIN gs ON ga.job_index = gs.job_index AND (contains(text, span) OR contains(lower(text), lower(span)))),
+        go AS (SELECT DISTINCT job_index, mention_idx, span, rank, line_index, line_id, char_start, text, unnest(spots) AS pos FROM gl UNION SELECT job_index, mention_idx, span, 0, line_index, line_id, char_start, text, spots[1] FROM gl WHERE exact AND contains(text, ctx)),
+        gp AS (SELECT *, row_number() OVER (PARTITION BY job_index, span ORDER BY mention_idx) AS k FROM (SELECT job_index, mention_idx, span, list({{'rank': rank, 'place': line_id || ':' || pos, 'line_id': line_id, 'pos': pos, 'cs': char_start + pos, 'ok': substring(text, pos + 1, length(span)) = span}} ORDER BY rank, line_index, pos, line_id) AS options FROM go GROUP BY ALL)),
+        gw AS (SELECT job_index, span, 0::BIGINT AS k, CAST([] AS VARCHAR[]) AS used, NULL::INT AS mention_idx, NULL::VARCHAR AS line_id, NULL::BIGINT AS cs, NULL::BOOLEAN AS ok FROM (SELECT DISTINCT job_index, span FROM gp) UNION ALL
+            SELECT job_index, span, k, list_append(used, o.place), mention_idx, o.line_id, o.cs, o.ok FROM (SELECT gp.job_index, gp.span, gp.k, used, gp.mention_idx, coalesce(list_filter(options, lambda x: NOT list_contains(used, x.place))[1], list_filter(options, lambda x: x.rank > 0)[1]) AS o FROM gw JOIN gp ON gp.job_index = gw.job_index AND gp.span = gw.span AND gp.k = gw.k + 1))"""
+    chunked = f"""{segmented}, cl AS (SELECT job_index, line_id, line_index, greatest(1, length(text)) AS size, lower(section) AS section FROM l),
+        cw AS (SELECT job_index, line_id, line_index, size AS chars, 1 AS n, section, 0 AS chunk FROM cl WHERE line_index = 0 UNION ALL
+            SELECT job_index, line_id, line_index, CASE WHEN cut THEN size ELSE chars + size + 1 END, CASE WHEN cut THEN 1 ELSE n + 1 END, section, chunk + cut::INT FROM
+                (SELECT cl.job_index, cl.line_id, cl.line_index, cl.size, cl.section, cw.chars, cw.n, cw.chunk, cw.chars + cl.size + 1 > 5000 OR cw.n >= 24 OR (cl.section <> cw.section AND cw.chars >= 2500) AS cut FROM cw JOIN cl ON cl.job_index = cw.job_index AND cl.line_index = cw.line_index + 1))"""
+    hashed = lambda role, span, line, text: f"('0x' || md5('{role}|' || {span} || '|' || {line} || '|' || {text})[1:8])::BIGINT"
+    sure = lambda h: f"round(0.5 + {h} % 50 / 100, 2)"
+    asked = f"{stored}, v AS (SELECT job_index, mention_idx, skill_span AS span, coalesce(line_section, '') AS sec, coalesce(source_line, '') AS line FROM m JOIN s1 USING (line_id))"
+
+    def verdict(role: str, value: str, expression: str) -> str:
+        h = hashed(role, "span", "line", "''")
+        status = f"CASE WHEN {h} % 10 <> 0 THEN 'accepted' ELSE 'rejected' END" if role == "verify" else "'completed'"
+        return f"WITH {asked} SELECT job_index, mention_idx, {status} AS status, {expression.replace('HASH', h)} AS {value}, {sure(h)} AS confidence, span AS evidence, '' AS notes, 'stub' AS model FROM v"
+
+    def extracted(source: str, keys: str) -> str:
+        """The stub's reply to ``xs`` (keys, text): terms between word boundaries, from the left, the longest at a place, without overlap."""
+        letter = r"[\p{L}\p{N}_]"
+        both = keys.split(", ")
+        on = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in both)
+        h = hashed("extract", "''", "''", "text")
+        return f"""WITH RECURSIVE {source}, xt AS (SELECT canonical_skill AS term FROM skill_reference),
+            xo AS (SELECT {keys}, a, max(a + length(term)) AS b FROM (SELECT {keys}, text, term, unnest(list_filter(range(length(text)), lambda i: substring(lower(text), i + 1, length(term)) = lower(term))) AS a FROM xs JOIN xt ON contains(lower(text), lower(term)))
+                WHERE NOT regexp_matches(substring(text, a, CASE WHEN a > 0 THEN 1 ELSE 0 END), '{letter}') AND NOT regexp_matches(substring(text, a + length(term) + 1, 1), '{letter}') GROUP BY ALL),
+            xw AS (SELECT {keys}, min(a) AS a, 0 AS k FROM xo GROUP BY ALL UNION ALL SELECT {keys}, min(a2), k + 1 FROM (SELECT {', '.join('w.' + k for k in both)}, w.k, n.a AS a2 FROM xw w JOIN xo c ON {on('c', 'w')} AND c.a = w.a JOIN xo n ON {on('n', 'w')} AND n.a >= c.b) GROUP BY ALL),
+            xm AS (SELECT {', '.join('xs.' + k for k in both)}, k AS mention_idx, substring(text, xo.a + 1, b - xo.a) AS skill_span, string_split(regexp_extract(substring(text, 1, xo.a), '[^\n]*$') || substring(text, xo.a + 1), chr(10))[1] AS line, {sure(h)} AS conf FROM xw JOIN xo ON {on('xo', 'xw')} AND xo.a = xw.a JOIN xs ON {on('xs', 'xw')})
+            SELECT {keys}, mention_idx, skill_span, line AS context, 'General' AS section_hint, (SELECT max(term) FROM xt WHERE lower(term) = lower(skill_span)) AS normalized_candidate, line AS evidence, conf AS raw_model_confidence, 'unclear' AS requirement_level, 'hard' AS hard_soft, 'stub' AS extractor_model, NULL::VARCHAR AS error FROM xm
+            UNION ALL SELECT {keys}, -1, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'stub', NULL FROM xs WHERE NOT EXISTS (SELECT 1 FROM xm WHERE {on('xm', 'xs')})"""
+
+    def apart(source: str, keys: str, distance: int, to: str) -> str:
+        both = keys.split(", ")
+        on = " AND ".join(f"t.{k} = w.{k}" for k in both)
+        return f"{to} AS (SELECT {keys}, min(position) AS position FROM {source} GROUP BY ALL UNION ALL SELECT {keys}, min(p2) AS position FROM (SELECT {', '.join('w.' + k for k in both)}, w.position, t.position AS p2 FROM {to} w JOIN {source} t ON {on} AND t.position > w.position + {distance}) GROUP BY ALL)"
+
+    apart_ = f"{trans}, {apart('tr', 'model, kind', R.APART, 'ka')}"
+    phased = f"{apart_}, kb AS (SELECT DISTINCT model, position FROM ka), {apart('kb', 'model', R.APART_MERGED, 'kc')}, cu AS (SELECT model, list_sort(list(position))[:2] AS cuts FROM kc GROUP BY 1)"
+
+    stored_columns = "run_id job_id line_id mention_id title_raw section skill_span normalized_candidate hard_soft requirement_level char_start char_end evidence raw_model_confidence final_confidence extractor_model verifier_status is_skill".split()
     needed = "coalesce(requirement_level = 'required', false)"
     fields = ["job_id", "line_id", "title_raw", "section", "normalized_candidate", "hard_soft", "requirement_level", "evidence"]
     kinds = ["verifier_status", "is_skill", "hard_soft", "requirement_level", "extractor_model"]
@@ -226,6 +312,27 @@ def statements() -> dict[str, str]:
         "quality_assessment": f"WITH {quality} SELECT * EXCLUDE (norm) FROM q",
         "quality_histogram": f"WITH {quality} SELECT status, count(*) AS n FROM q GROUP BY 1",
         "model_eligible": f"WITH {quality} SELECT job_index FROM q WHERE NOT (status IN ('truncated_or_broken', 'malformed') AND char_length < 40)",
+        "candidate_rule_counts": f"WITH {labelled}, ml AS (SELECT * FROM ll WHERE NOT (boilerplate_label IN ('likely_legal', 'likely_benefits') AND length(text) < 200)) " + " UNION ALL ".join(f"SELECT '{name}' AS rule_source, sum(n)::BIGINT AS n_matches, count(*) FILTER (n > 0) AS n_lines FROM (SELECT len(regexp_extract_all(text, '{raw(p)}', 0, 'i')) AS n FROM ml)" for name, p in C.PATTERNS.items()),
+        "mine_candidates": f"WITH {labelled_mc} SELECT * FROM mc",
+        "candidates_per_line": f"WITH {labelled_mc} SELECT job_index, line_id, array_to_string(list_filter(o, lambda x, i: list_position(o, x) = i), '; ') AS hints FROM (SELECT job_index, line_id, list(candidate_text ORDER BY ordinal) AS o FROM mc GROUP BY 1, 2)",
+        "rules_fired": f"WITH {stored_mc}, {fired} SELECT m.mention_id, coalesce({firsts}, '') AS rules_fired FROM m LEFT JOIN rf USING (mention_id) WHERE char_start >= 0",
+        "ground_spans": f"WITH RECURSIVE {grounded} SELECT job_index, mention_idx, line_id, cs::INT AS char_start, (cs + length(span))::INT AS char_end, ok AS offset_valid FROM gw WHERE k > 0",
+        "repair_offsets": f"""WITH {stored}, p0 AS (SELECT mention_id, skill_span AS span, source_line AS t, mention_idx % 4 AS turn, char_start - line_start AS own, evidence FROM m JOIN s1 USING (line_id)),
+            p1 AS (SELECT *, CASE turn WHEN 0 THEN own WHEN 1 THEN own + 3 ELSE -1 END AS a, CASE WHEN turn = 2 AND {strip("coalesce(evidence, '')")} <> '' AND strpos(t, trim(evidence, ' ')) > 0 THEN strpos(t, trim(evidence, ' ')) - 1 END AS ev, CASE WHEN length(span) > 0 THEN list_filter(range(length(t)), lambda i: substring(t, i + 1, length(span)) = span) ELSE [] END AS spots FROM p0)
+            SELECT mention_id, CASE WHEN turn < 2 AND a >= 0 AND length(span) > 0 AND substring(t, a + 1, length(span)) = span THEN a ELSE list_sort(list_transform(spots, lambda x: {{'d': abs(x - CASE WHEN a >= 0 THEN a ELSE coalesce(ev, 0) END), 'p': x}}))[1].p END::INT AS line_char_start FROM p1""",
+        "line_chunks": f"WITH RECURSIVE {chunked} SELECT job_index, line_id, chunk FROM cw",
+        "chunk_texts": f"WITH RECURSIVE {chunked}, cx AS (SELECT job_index, chunk, min(char_start) AS a, max(char_start + length(text)) AS b FROM cw JOIN l USING (job_index, line_id) GROUP BY 1, 2) SELECT job_index, chunk, substring(norm, a + 1, (b - a)::BIGINT) AS text FROM cx JOIN d USING (job_index)",
+        "extract_stub": extracted(f"{described}, xs AS (SELECT job_index, description_raw AS text FROM d)", "job_index"),
+        "extract_batches_stub": extracted(f"{labelled}, nb AS (SELECT *, ((row_number() OVER (PARTITION BY job_index ORDER BY line_index) - 1) // 5)::INT AS batch FROM ll WHERE {shown}), xs AS (SELECT job_index, batch, string_agg(text, chr(10) ORDER BY line_index) AS text FROM nb GROUP BY 1, 2)", "job_index, batch"),
+        "verify_stub": verdict("verify", "is_skill", "HASH % 10 <> 0"),
+        "requirement_stub": verdict("requirement", "requirement_level", "CASE sec WHEN 'requirements' THEN 'required' WHEN 'preferred' THEN 'optional' ELSE 'unclear' END"),
+        "hardsoft_stub": verdict("hardsoft", "hard_soft", "CASE WHEN regexp_matches(span, '(?i)team|communicat|mentor|listen|negotiat|writing|adapt') THEN 'soft' ELSE 'hard' END"),
+        "legacy_confidence": f"WITH {with_rules} SELECT mention_id, n_rules, final_confidence FROM f",
+        "zero_mention_jobs": f"WITH {per_job} SELECT job_index FROM pj WHERE n = 0 ORDER BY job_index LIMIT 30",
+        "transitions_apart": f"WITH RECURSIVE {apart_} SELECT tr.* FROM tr JOIN ka USING (model, kind, position)",
+        "call_phases": f"WITH RECURSIVE {phased}, ph AS (SELECT pl.model, position, CASE WHEN cuts IS NULL OR position < cuts[1] THEN 1 WHEN len(cuts) = 2 AND position < cuts[2] THEN 2 ELSE 3 END AS phase FROM pl LEFT JOIN cu USING (model)) SELECT model, phase, count(*) AS calls, min(position) AS from_position FROM ph GROUP BY 1, 2",
+        "reply_json": r"""WITH r AS (SELECT doc_id, regexp_replace(text, '(?is)^(\s*<think\b[^>]*>.*?</think>\s*)+', '') AS t FROM documents WHERE kind = 'reply'), f AS (SELECT doc_id, CASE WHEN regexp_matches(t, '(?is)```(?:json)?\s*(.*?)\s*```') AND regexp_extract(t, '(?is)```(?:json)?\s*(.*?)\s*```', 1) <> '' THEN regexp_extract(t, '(?is)```(?:json)?\s*(.*?)\s*```', 1) ELSE """ + strip("t") + r""" END AS t FROM r),
+            o AS (SELECT doc_id, coalesce(nullif(regexp_extract(t, '(?s)[\[{].*[\]}]'), ''), t) AS t FROM f) SELECT doc_id, regexp_replace(t, ',\s*([\]}])', '\1', 'g') AS body FROM o""",
         "span_checks": f"WITH {merged} SELECT mention_id, offset_valid, evidence_ok FROM g",
         "resolve_lines": f"WITH {stored} SELECT mention_id, line_id, s1.line_section AS section, boilerplate_label, source_line FROM m JOIN s1 USING (line_id)",
         "merge_stages": f"WITH {merged} SELECT mention_id, is_skill, verifier_status, verifier_confidence, requirement_level, requirement_status, requirement_confidence, hard_soft, hardsoft_status, hardsoft_confidence FROM g",
@@ -243,7 +350,8 @@ def statements() -> dict[str, str]:
         "ontology_core": f"WITH {onto} SELECT canonical_key, job_count, mention_count, avg_confidence, type FROM o",
         "ontology_full": f"WITH {onto} SELECT canonical_skill, canonical_key, variants, type, type_distribution, requirement_level, requirement_distribution, job_count, mention_count, avg_confidence, confidence_min, confidence_max, common_contexts FROM o",
         "ontology_ranked": f"WITH {onto} SELECT row_number() OVER (ORDER BY job_count DESC, mention_count DESC, first_at) AS rank, canonical_key, job_count, mention_count FROM o",
-        "ontology_csv": f"WITH {onto} SELECT canonical_key, variants, confidence_min::VARCHAR AS confidence_min, 'sf' AS run_id FROM o",
+        "ontology_csv": f"""WITH {onto} SELECT canonical_skill, canonical_key, variants, type, '{{"' || replace(replace(type_distribution, '=', '":'), ';', ',"') || '}}' AS type_distribution, requirement_level, '{{"' || replace(replace(requirement_distribution, '=', '":'), ';', ',"') || '}}' AS requirement_distribution,
+            job_count, mention_count, avg_confidence, confidence_min::VARCHAR AS confidence_min, confidence_max::VARCHAR AS confidence_max, common_contexts, 'sf' AS run_id FROM o""",
         "duplicate_pairs": f"WITH {dup}",
         "title_skills": f"WITH {titles(False)} SELECT * FROM ts",
         "title_skills_mapped": f"WITH {titles(True)} SELECT title, canonical_key, points, posting_count, row_number() OVER (PARTITION BY title ORDER BY points DESC, canonical_key) AS rank FROM ts",
@@ -251,7 +359,7 @@ def statements() -> dict[str, str]:
         "skill_frequency": f"WITH {mentions} SELECT {name_lower} AS normalized_lower, count(*) AS n FROM m WHERE is_skill AND {name_lower} <> '' GROUP BY 1",
         "job_skills": f"WITH {mentions} SELECT job_id, coalesce(title_raw, '') AS title_norm, coalesce(nullif(normalized_candidate, ''), skill_span, '') AS normalized_skill, final_confidence, coalesce(hard_soft, '') AS hard_soft, coalesce(requirement_level, '') AS requirement_level FROM m WHERE is_skill",
         "low_confidence": f"WITH {mentions} SELECT mention_id, job_id, final_confidence, verifier_status FROM m WHERE coalesce(final_confidence, 1) < 0.55 OR coalesce(verifier_status = 'parse_failed', false)",
-        "mentions_export": f"WITH {mentions} SELECT mention_id, run_id, coalesce(job_id, '') AS job_id, coalesce(title_raw, '') AS title_raw, coalesce(normalized_candidate, '') AS normalized_candidate, coalesce(hard_soft, '') AS hard_soft, '' AS rules_fired, '' AS pipeline_audit FROM m",
+        "mentions_export": f"WITH {mentions} SELECT " + ", ".join(f"coalesce({c}::VARCHAR, '') AS {c}" if c in stored_columns else f"'' AS {c}" for c in MENTION_CSV) + " FROM m",
         "extraction_summary": f"WITH {per_job}, s AS (SELECT list_sort(list(n)) AS a FROM pj) SELECT count(*) AS total_jobs, sum(n)::BIGINT AS total_mentions, round(avg(n), 4) AS mean, median(n) AS median, min(n) AS min, max(n) AS max, count(*) FILTER (n = 0) AS zero_jobs, round(stddev_samp(n), 4) AS stdev, any_value(a[len(a) // 4 + 1]) AS q1, any_value(a[3 * len(a) // 4 + 1]) AS q3 FROM pj, s",
         "mention_classes": f"WITH {per_job} {classes('pj', 'n', R.MENTION_CLASSES)}",
         "confidence_histogram": f"WITH {mentions} SELECT CASE WHEN raw_model_confidence >= 1 THEN 10 ELSE floor(raw_model_confidence * 10)::INT END AS decile, count(*) AS n FROM m WHERE raw_model_confidence IS NOT NULL GROUP BY 1",

@@ -156,7 +156,7 @@ def line_batches(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def line_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return lines.chunks(lines.segment(described(spark, d)))
+    return lines.chunks(described(spark, d))
 
 
 @query
@@ -208,9 +208,12 @@ def span_checks(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def repair_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """Proposals by mention_idx: as stored, three characters too far, none but the evidence, and none at all."""
     m = assemble.with_lines(mentions(spark, d), stored_lines(spark, d))
-    c = F.col
-    place = grounding.repair_offset(c("source_line"), c("skill_span"), F.lit(-1), F.lit(-1), c("evidence"))
+    c, turn = F.col, F.pmod("mention_idx", F.lit(4))
+    start = F.when(turn == 0, c("char_start") - c("line_start")).when(turn == 1, c("char_start") - c("line_start") + 3).otherwise(-1)
+    end = F.when(turn < 2, start + F.length("skill_span")).otherwise(-1)
+    place = grounding.repair_offset(c("source_line"), c("skill_span"), start, end, F.when(turn != 3, c("evidence")))
     return m.select("mention_id", place.alias("line_char_start"))
 
 
@@ -272,8 +275,7 @@ def candidates_per_line(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def chunk_texts(spark: SparkSession, d: str) -> DataFrame:
-    described_, segmented = described(spark, d), lines.segment(described(spark, d))
-    return lines.chunk_texts(described_, lines.chunks(segmented), segmented)
+    return lines.chunk_texts(described(spark, d))
 
 
 @query
@@ -323,6 +325,12 @@ def verify_stub(spark: SparkSession, d: str) -> DataFrame:
     return model_calls.classify(m, model_calls.StubBackend(), "verify").drop("seconds")
 
 
+@query
+def requirement_stub(spark: SparkSession, d: str) -> DataFrame:
+    m = assemble.with_lines(mentions(spark, d), stored_lines(spark, d))
+    return model_calls.classify(m, model_calls.StubBackend(), "requirement").drop("seconds")
+
+
 @query
 def hardsoft_stub(spark: SparkSession, d: str) -> DataFrame:
     m = assemble.with_lines(mentions(spark, d), stored_lines(spark, d))
@@ -367,7 +375,7 @@ def ontology_ranked(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def ontology_csv(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.ontology_csv(_ontology(spark, d), "sf").select("canonical_key", "variants", "confidence_min", "run_id")
+    return sinks.ontology_csv(_ontology(spark, d), "sf")
 
 
 @query
@@ -417,7 +425,7 @@ def low_confidence(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def mentions_export(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.mentions_csv(mentions(spark, d)).select("mention_id", "run_id", "job_id", "title_raw", "normalized_candidate", "hard_soft", "rules_fired", "pipeline_audit")
+    return sinks.mentions_csv(mentions(spark, d))
 
 
 @query
@@ -470,6 +478,11 @@ def largest_differences(spark: SparkSession, d: str) -> DataFrame:
     return reports.largest_differences(compared(spark, d))
 
 
+@query
+def zero_mention_jobs(spark: SparkSession, d: str) -> DataFrame:
+    return reports.zero_jobs(reports.mentions_per_job(table(spark, d, "jobs"), mentions(spark, d)))
+
+
 @query
 def topk_overlap(spark: SparkSession, d: str) -> DataFrame:
     return reports.top_overlap(*two_runs(spark, d), "normalized_candidate")
