@@ -395,7 +395,12 @@ def test_encodings_are_undone(spark):
 
 
 def test_lattice_and_path():
-    assert encoding.from_lattice([0xC3, None, 0x72], "utf-8") == "�r"
+    any_ = encoding.ANY
+    assert encoding.from_lattice([0xC3, frozenset({0xA9}), 0x72], "utf-8") == ("ér", [])
+    assert encoding.from_lattice([0xD0, encoding.left_open("cp1252")], "utf-8") == ("�", ["ЁЍЏАН"])
+    assert encoding.from_lattice([any_, 0xB0], "utf-8")[1][0].startswith("°ðİ"[:1]) and encoding.from_lattice([any_, 0x72], "utf-8") == ("�r", [""])
+    assert encoding.from_lattice([encoding.left_open("cp1252"), 0xB0], "utf-8") is None
+    assert encoding.left_open("latin-1") == any_ and encoding.left_open("cp1251") == {0x98}
     assert encoding.from_lattice([0xC3, 0x28], "utf-8") is None
     assert encoding.viterbi([{"x": 9.0}, {"x": -0.5}, {"x": 9.0}]) == ["x", "x", "x"]
     assert encoding.viterbi([{"x": 1.0}]) == [""]
@@ -417,3 +422,44 @@ def test_copies_do_not_speak_for_a_garbled_text(spark):
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     assert {r.doc_id for r in encoding.garbled(df).collect()} == set(bad)
     assert {r.doc_id: r.restored_text for r in encoding.restore(df).collect()} == bad
+
+
+def test_lost_characters_come_back_right_or_stay(spark):
+    corpus = ["Наша система управления и разработка, важная работа для команды.", "Система управления ждёт. Разработка идёт.", "職務経歴書を提出してください。", "Für die Übung braucht man Größe und Gefühl.", "L’été, la crème et la forêt."]
+    bad = {100: "Новая разработ�а и р�б�ота тут", 101: "職務経�書", 102: "F�r die �bung", 103: "�� ��� ���", 104: "Разработ�а — СИСТ�МА", 105: "tr�s cr�me", 106: "�Sabe", 107: "f�� x�"}
+    want = {100: "Новая разработка и р�б�ота тут", 101: "職務経�書", 102: "Für die Übung", 103: "�� ��� ���", 104: "Разработка — СИСТЕМА", 105: "tr�s crème", 106: "�Sabe", 107: "f�� x�"}
+    rows = [(i, f"{t} ({i})") for i, t in enumerate(corpus * 4)] + list(bad.items())
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in encoding.restore(df).collect()}
+    assert {i: r.restored_text for i, r in got.items()} == want
+    assert {i for i, r in got.items() if r.complete} == {102, 104}
+
+
+def test_a_lattice_has_the_bytes_that_an_encoding_leaves_open(spark):
+    text = "Надёжная Новая Авария и Няня"
+    bad = text.encode("utf-8").decode("cp1252", "replace")
+    assert bad.count("�") > 4
+    rows = [(i, f"{text} {i}") for i in range(5)] + [(9, bad)]
+    got = encoding.restore(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [(r.doc_id, r.restored_text, r.complete) for r in got] == [(9, text, True)]
+
+
+def test_path_grows_with_the_steps():
+    import random
+    import time
+
+    rng = random.Random(2)
+    steps = [{c: rng.uniform(-2, 4) for c in rng.sample("abcdefgh", 4)} for _ in range(20_000)]
+    began = time.time()
+    path = encoding.viterbi(steps)
+    assert len(path) == len(steps) and time.time() - began < 5
+
+    def worth(p, s):
+        cost = lambda a, b: 0.0 if a == b else encoding.LEAVE if b == "" else encoding.ENTER if a == "" else encoding.ENTER + encoding.LEAVE
+        return sum(g.get(c, 0.0) for g, c in zip(s, p)) - sum(cost(a, b) for a, b in zip(["", *p], p))
+
+    import itertools
+
+    short = steps[:5]
+    best = max(worth(p, short) for p in itertools.product(*[["", *s] for s in short]))
+    assert worth(encoding.viterbi(short), short) == pytest.approx(best)
