@@ -38,21 +38,26 @@ def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return canonical.unmatched_report(_canonical(spark, d))
 
 
-def _notices(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.repeated_lines(table(spark, d, "parsed_lines"), cluster="posting")
+def _recurring(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that recur over clusters of copies and publication days."""
+    return repeated_lines.repeated_lines(table(spark, d, "parsed_lines"), table(spark, d, "jobs"), min_days=2)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.repeated_line_rows(table(spark, d, "parsed_lines"), _notices(spark, d)).select("line_id").distinct()
+    """Clusters and days are counted as for ``p3_line_counts``; the postings among those counts decide, as the test tables define it."""
+    notices = repeated_lines.repeated_lines(table(spark, d, "parsed_lines"), table(spark, d, "jobs"), by="postings")
+    seen = notices.where((F.col("n_clusters") >= 1) & (F.col("n_days") >= 0))
+    return repeated_lines.repeated_line_rows(table(spark, d, "parsed_lines"), seen).select("line_id").distinct()
 
 
 def p3_line_counts(spark: SparkSession, d: str) -> DataFrame:
-    counts = repeated_lines.repeated_lines(table(spark, d, "parsed_lines"), table(spark, d, "jobs"), cluster="text", min_days=2)
-    return counts.select("source", "n_clusters", "n_postings", "n_days", "source_clusters", "source_postings")
+    counts = repeated_lines.named(table(spark, d, "parsed_lines"), _recurring(spark, d))
+    return counts.select("source", "letters", "n_clusters", "n_postings", "n_days", "source_clusters", "source_postings")
 
 
 def p3_without(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.without_repeated(table(spark, d, "parsed_lines"), _notices(spark, d)).select("line_id", "job_index", "source", "text", "line_index").distinct()
+    """Without the lines that recur over clusters and days; those of one republished article stay."""
+    return repeated_lines.without_repeated(table(spark, d, "parsed_lines"), _recurring(spark, d)).select("line_id", "job_index", "source", "text", "line_index").distinct()
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -134,6 +139,10 @@ def oracle_sql() -> dict[str, str]:
     lines = rf"""l AS (SELECT *, {letters} AS k, len(regexp_extract_all(text, '\p{{L}}+')) AS w FROM parsed_lines WHERE source IS NOT NULL AND text IS NOT NULL),
         n AS (SELECT source, count(DISTINCT job_index) AS n FROM l GROUP BY 1), c AS (SELECT source, k, count(DISTINCT job_index) AS c FROM l WHERE w >= 5 GROUP BY 1, 2),
         notice AS (SELECT source, k FROM c JOIN n USING (source) WHERE c >= 3 AND c * 10 >= n)"""
+    recurring = """day AS (SELECT job_index, min(posted_at)::DATE AS day FROM jobs WHERE job_index IS NOT NULL GROUP BY 1), u AS (SELECT DISTINCT source, job_index, k FROM l WHERE w >= 5 AND job_index IS NOT NULL),
+        cl AS (SELECT p.source, p.job_index, coalesce(string_agg(k, '|' ORDER BY k), '') AS cl FROM (SELECT DISTINCT source, job_index FROM l WHERE job_index IS NOT NULL) p LEFT JOIN u ON u.source = p.source AND u.job_index = p.job_index GROUP BY 1, 2),
+        sc AS (SELECT source, count(DISTINCT cl) AS source_clusters, count(*) AS source_postings FROM cl GROUP BY 1), kc AS (SELECT source, k, count(DISTINCT cl) AS n_clusters, count(*) AS n_postings, count(DISTINCT day) AS n_days FROM u JOIN cl USING (source, job_index) LEFT JOIN day USING (job_index) GROUP BY 1, 2),
+        rec AS (SELECT * FROM kc JOIN sc USING (source) WHERE n_clusters >= 3 AND n_clusters * 10 >= source_clusters AND n_days >= 2)"""
     terms = f"""once AS (SELECT DISTINCT mention_id, job_index, normalized_candidate, skill_span FROM skill_mentions),
         f AS (SELECT 'normalized_candidate' AS field, {_folded('normalized_candidate')} AS term, job_index FROM once UNION ALL SELECT 'skill_span', {_folded('skill_span')}, job_index FROM once),
         c AS (SELECT field, term, count(*) AS n_rows, count(DISTINCT job_index) AS n_records FROM f WHERE term <> '' AND job_index IS NOT NULL GROUP BY 1, 2), n AS (SELECT count(DISTINCT job_index) AS n FROM skill_mentions),
@@ -152,10 +161,8 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"{form_all} SELECT DISTINCT field, record_id FROM formed WHERE v <> form",
         "p1_consistent": f"{form_all} SELECT DISTINCT field, record_id, form AS consistent FROM formed UNION SELECT field, record_id, v FROM fields WHERE v IS NULL OR NOT regexp_matches(v, '[^\\x00-\\x7F]')",
         "p3_found": f"WITH {lines} SELECT DISTINCT line_id FROM l JOIN notice USING (source, k) WHERE w >= 5",
-        "p3_line_counts": f"""WITH {lines}, day AS (SELECT job_index, min(posted_at)::DATE AS day FROM jobs WHERE job_index IS NOT NULL GROUP BY 1), u AS (SELECT DISTINCT source, job_index, k FROM l WHERE w >= 5), cl AS (SELECT source, job_index, string_agg(k, '|' ORDER BY k) AS cl FROM u GROUP BY 1, 2),
-            sc AS (SELECT source, count(DISTINCT cl) AS source_clusters FROM cl GROUP BY 1), kc AS (SELECT source, k, count(DISTINCT cl) AS n_clusters, count(*) AS n_postings, count(DISTINCT day) AS n_days FROM u JOIN cl USING (source, job_index) LEFT JOIN day USING (job_index) GROUP BY 1, 2)
-            SELECT source, n_clusters, n_postings, n_days, source_clusters, n.n AS source_postings FROM kc JOIN sc USING (source) JOIN n USING (source) WHERE n_clusters >= 3 AND n_clusters * 10 >= source_clusters AND n_days >= 2""",
-        "p3_without": rf"WITH {lines} SELECT DISTINCT line_id, job_index, source, text, line_index FROM (SELECT p.*, {letters} AS k, len(regexp_extract_all(text, '\p{{L}}+')) AS w FROM parsed_lines p) q WHERE NOT coalesce(w >= 5 AND EXISTS (SELECT 1 FROM notice WHERE notice.source = q.source AND notice.k = q.k), false)",
+        "p3_line_counts": f"WITH {lines}, {recurring} SELECT source, k AS letters, n_clusters, n_postings, n_days, source_clusters, source_postings FROM rec",
+        "p3_without": rf"WITH {lines}, {recurring} SELECT DISTINCT line_id, job_index, source, text, line_index FROM (SELECT p.*, {letters} AS k, len(regexp_extract_all(text, '\p{{L}}+')) AS w FROM parsed_lines p) q WHERE NOT coalesce(w >= 5 AND EXISTS (SELECT 1 FROM rec WHERE rec.source = q.source AND rec.k = q.k), false)",
         "p5_found": f"WITH {terms} SELECT field, term, mark FROM m WHERE mark IS NOT NULL",
         "p5_counts": f"WITH {terms} SELECT field, term, n_rows, n_records, mark FROM m",
         "p6_found": f"WITH {pairs} SELECT skill_a, skill_b FROM p WHERE n_both * n_baskets >= 3 * n_a * n_b",
