@@ -7,7 +7,7 @@ one kind and size are alike, so the choice is over distinct sizes (at most two p
 
 Only documents above a capacity are split: into full pieces, a container each, and a remainder that is packed as an item.
 
-Documents are hashed to shards of about ``SHARD_ITEMS`` items, whatever their source, and each shard is packed on its own:
+Documents are hashed, by id and place in the table, to shards of about ``SHARD_ITEMS`` items, whatever their source or how often an id occurs, and each shard is packed on its own:
 no group grows with the data, and a shard wastes at most its last container. Only sizes are shuffled, never text.
 
 Empty and null texts need no room; they are listed with bin_id null. A document whose own loss-bearing tokens exceed their limit uses
@@ -86,12 +86,12 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, tokenizer: str =
     if len(kinds) > MAX_CONTAINERS or any(not r.capacity_tokens or r.capacity_tokens < 1 for r in kinds):
         raise ValueError(f"capacities must be 1 to {MAX_CONTAINERS} rows of positive capacity_tokens")
     loss = F.col("kind").isin(*loss_kinds) if "kind" in documents.columns else F.lit(False)
-    sized = with_token_counts(documents.select("doc_id", F.coalesce(loss, F.lit(False)).alias("bears"), "text"), path=tokenizer)
+    sized = with_token_counts(documents.select("doc_id", F.coalesce(loss, F.lit(False)).alias("bears"), F.monotonically_increasing_id().alias("row"), "text"), path=tokenizer)
     offered = F.array(*[F.struct(F.lit(r.container).alias("container"), F.lit(int(r.capacity_tokens)).alias("capacity_tokens")) for r in kinds]) if kinds else F.array().cast("array<struct<container: string, capacity_tokens: int>>")
-    each = sized.select("doc_id", "bears", F.col("n_tokens").alias("size"), F.explode(offered).alias("c")).select("doc_id", "bears", "size", "c.container", "c.capacity_tokens")
+    each = sized.select("doc_id", "bears", "row", F.col("n_tokens").alias("size"), F.explode(offered).alias("c")).select("doc_id", "bears", "row", "size", "c.container", "c.capacity_tokens")
     # the number of items decides the number of shards; the scan is repeated for it by Parquet's row counts alone
     shards = max(1, -(-documents.count() // shard_items))
-    keyed = each.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("pack")), F.lit(shards)).cast("int"))
+    keyed = each.withColumn("shard", F.pmod(F.xxhash64("doc_id", "row", F.lit("pack")), F.lit(shards)).cast("int")).drop("row")
     spec = keyed.groupBy("container", "shard")
 
     def run(group: pa.Table) -> pa.Table:
