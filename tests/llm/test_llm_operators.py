@@ -104,13 +104,28 @@ def test_canonical_values(spark):
     assert {r.ref_id for r in none.collect()} == {-1}
 
 
-def test_lists_are_read_in_blocks(spark, monkeypatch):
+def test_shards_and_blocks_change_nothing(spark):
     skills = spark.createDataFrame([(i, f"skill number {chr(97 + i) * 6}", []) for i in range(9)], "ref_id bigint, canonical_skill string, aliases array<string>")
-    monkeypatch.setattr(canonical, "BLOCK_ENTRIES", 4)
-    assert [len(b) for b in canonical.read_list(skills, "canonical_skill", "aliases")] == [4, 4, 1]
-    values = spark.createDataFrame([("s", f"skill number {chr(97 + i) * 6}") for i in range(9)], "list string, value string")
-    got = {r.value: r.ref_id for r in canonical.match_values(values, {"s": canonical.read_list(skills, "canonical_skill", "aliases")}).collect()}
-    assert got == {f"skill number {chr(97 + i) * 6}": i for i in range(9)}
+    entries = canonical.entries_of(skills, "s", "canonical_skill", "aliases")
+    values = spark.createDataFrame([("s", f"skill number {chr(97 + i) * 6}") for i in range(9)] + [("t", "skill number aaaaaa")], "list string, value string")
+    for kw in ({}, {"shard_entries": 2, "block_values": 3}):
+        got = {(r.list, r.value): r.ref_id for r in canonical.match_values(values, entries, **kw).collect()}
+        assert got == {("s", f"skill number {chr(97 + i) * 6}"): i for i in range(9)} | {("t", "skill number aaaaaa"): -1}
+
+
+def test_entries_of_any_length_are_found(spark):
+    long = "senior principal " + "interdepartmental " * 3 + "reconciliation and settlement officer"
+    assert len(long) > 85
+    skills = spark.createDataFrame([(1, long, None), (2, "abbreviated thing", None), (None, "no id", None), (3, None, None)], "ref_id bigint, canonical_skill string, aliases array<string>")
+    typed = {"exact": long, "slips": "the " + long.replace("settlement", "setlement").replace("principal", "principla").replace("officer", "oficer") + ", part time", "no": long[:60], "short": "abbr. thing", "": "thing"}
+    values = spark.createDataFrame([("s", v) for v in typed.values()], "list string, value string")
+    entries = canonical.entries_of(skills, "s", "canonical_skill", "aliases")
+    got = {r.value: r.ref_id for r in canonical.match_values(values, entries).collect()}
+    assert [got[v] for v in typed.values()] == [1, 1, -1, 2, -1]
+    assert {r.value: r.ref_id for r in canonical.match_values(values, entries, abbreviations={"abbreviated": ("abd",)}).collect()}["abbr. thing"] == 2  # a prefix of three letters needs no table
+    assert [canonical.allowed(n) for n in (4, 5, 6, 7, 24, 25, 48, 49)] == [0, 1, 1, 2, 2, 3, 3, 4]
+    trie = canonical.Trie([(1, ["x" * 70]), (2, ["y" * 20])])
+    assert {(w, r, e) for w, r, e, _ in trie.search(["x" * 70, "x" * 67, "y" * 18, "x" * 61, "yx" + "x" * 69])} == {(0, 1, 0), (1, 1, 3), (2, 2, 2), (4, 1, 1)}
 
 
 # --- 3 -------------------------------------------------------------------------------------------------------------------

@@ -3,8 +3,8 @@
 Every document of a source is used in as many complete epochs as the source's budget holds, at most ``max_repeats``; the rest
 of the budget is filled by a weighted sample without replacement (Efraimidis and Spirakis): each document draws the key
 ``-ln(u) / weight``, u from a hash of its id and the seed, weight from its quality; documents are taken in ascending order of
-keys until their tokens reach the rest. A long document that would exceed it is passed over, and in ``ROUNDS`` rounds the gap
-it leaves is filled by the next ones that fit.
+keys until their tokens reach the rest. A long document that would exceed it is passed over, and the gap it leaves is filled by
+the next ones that fit, round after round, until no document left fits the gap of its source.
 
 The prefix sum is distributed: a key falls into a bucket by its logarithm, ``PER_OCTAVE`` buckets to a factor of two. As keys are
 exponential, a bucket holds at most ln(2) / e / PER_OCTAVE of its source (about 1 in 8,000) whatever the weights. The sums per
@@ -12,12 +12,14 @@ source and bucket are combined map-side, and their running sum tells for every b
 out. Only that boundary bucket is sorted. A source with a third of all rows is spread over its buckets.
 
 Total size: the tokens of all documents of the listed sources, unless given. Documents without tokens or without a listed
-source are not selected. Targets that need more repeats than allowed end as 'capped'; the report has actual shares.
-A source's tokens never exceed its budget.
+source are not selected. Targets that need more repeats than allowed end as 'capped'; the report has actual shares and what is missing in tokens.
+A source's tokens never exceed its budget. As no other source makes up for what a capped or short one lacks, the others' shares come out above their targets ('over').
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +28,6 @@ from weftline.llm.tokens import TOKENIZER, with_token_counts
 from weftline.session import cut
 
 PER_OCTAVE = 2048
-ROUNDS = 3
 TOLERANCE = 0.02
 
 
@@ -64,8 +65,8 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     """(selection, shares).
 
     selection: ``doc_id, source, n_tokens, copies`` with copies of 1 to max_repeats.
-    shares: ``source, target_share, actual_share, target_tokens, selected_tokens, available_tokens, epochs, max_repeats, n_docs, status``,
-    a row per target; status is 'met' (within TOLERANCE), 'capped' (max_repeats reached below the target), 'short' (what is left is longer than the gap) or 'empty'.
+    shares: ``source, target_share, actual_share, target_tokens, selected_tokens, missing_tokens, available_tokens, epochs, max_repeats, n_docs, status``,
+    a row per target; status is 'met' or 'over' (actual share within TOLERANCE of the target, or above), 'capped' (max_repeats reached below the target), 'short' (below, as every document left is longer than the gap) or 'empty'.
     A target with null share counts as 0, with null max_repeats as 1; of several rows of a source the first by share holds.
     """
     require(targets, "source", "target_share", "max_repeats")
@@ -83,22 +84,27 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     plan = plan.withColumn("epochs", epochs.cast("int"))
     rest = F.when(F.col("epochs") < F.col("max_repeats"), F.col("target_tokens") - F.col("epochs") * F.col("available_tokens")).otherwise(0)
     plan = plan.withColumn("rest", F.greatest(rest, F.lit(0)).cast("bigint")).select("source", "target_share", "max_repeats", "available_tokens", "target_tokens", "epochs", "rest")
-    goal = plan.where("rest > 0").select("source", "rest")
-    extra = None
-    left, gap = docs, goal
-    for _ in range(ROUNDS):
-        taken = cut(_prefix(left.join(gap, "source").where(F.col("n_tokens") <= F.col("rest"))))
-        extra = taken if extra is None else extra.unionByName(taken)
-        used = extra.groupBy("source").agg(F.sum("n_tokens").alias("used"))
-        gap = goal.join(used, "source", "left").select("source", (F.col("rest") - F.coalesce("used", F.lit(0))).alias("rest")).where("rest > 0")
-        left = left.join(taken.select("doc_id"), "doc_id", "left_anti")
-    whole = docs.join(plan.select("source", "epochs"), "source").select("doc_id", "source", "n_tokens", F.col("epochs").alias("copies"))
+    plan = cut(plan)  # a row per source; all that follows reads it many times
+    left, gap, taken = docs, plan.where("rest > 0").select("source", "rest"), []
+    while True:
+        fits = left.join(gap, "source").where(F.col("n_tokens") <= F.col("rest"))
+        now = cut(_prefix(fits))
+        if now.isEmpty():  # no document left fits the gap of its source
+            break
+        taken.append(now)
+        used = now.groupBy("source").agg(F.sum("n_tokens").alias("used"))
+        gap = cut(gap.join(used, "source").select("source", (F.col("rest") - F.col("used")).alias("rest")).where("rest > 0"))
+        left = cut(fits.drop("rest").join(gap, "source", "left_semi").join(now.select("doc_id"), "doc_id", "left_anti"))
+    extra = reduce(DataFrame.unionByName, taken, docs.select("doc_id", "source", "n_tokens").limit(0))
+    whole = docs.join(plan.where("epochs > 0").select("source", "epochs"), "source").select("doc_id", "source", "n_tokens", F.col("epochs").alias("copies"))
     both = whole.unionByName(extra.select("doc_id", "source", "n_tokens", F.lit(1).alias("copies")))
-    selection = both.groupBy("doc_id", "source", "n_tokens").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
+    selection = both.groupBy("doc_id", "source", "n_tokens").agg(F.sum("copies").cast("int").alias("copies"))
     got = selection.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("selected_tokens"), F.count("*").alias("n_docs"))
     all_ = got.agg(F.sum("selected_tokens").alias("all_tokens"))
     full = plan.join(got, "source", "left").crossJoin(F.broadcast(all_))
     selected = F.coalesce("selected_tokens", F.lit(0))
-    status = F.when(F.col("available_tokens") == 0, "empty").when(F.col("target_tokens") > F.col("available_tokens") * F.col("max_repeats"), "capped").when(selected < F.col("target_tokens") * (1 - TOLERANCE), "short").otherwise("met")
-    shares = full.select("source", "target_share", F.coalesce(selected / F.nullif("all_tokens", F.lit(0)), F.lit(0.0)).alias("actual_share"), "target_tokens", selected.alias("selected_tokens"), "available_tokens", "epochs", "max_repeats", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), status.alias("status"))
+    actual = F.coalesce(selected / F.nullif("all_tokens", F.lit(0)), F.lit(0.0))
+    status = F.when(F.col("available_tokens") == 0, "empty").when(actual > F.col("target_share") * (1 + TOLERANCE), "over").when(actual >= F.col("target_share") * (1 - TOLERANCE), "met").when(F.col("target_tokens") > F.col("available_tokens") * F.col("max_repeats"), "capped").otherwise("short")
+    missing = F.greatest(F.col("target_tokens") - selected, F.lit(0))
+    shares = full.select("source", "target_share", actual.alias("actual_share"), "target_tokens", selected.alias("selected_tokens"), missing.alias("missing_tokens"), "available_tokens", "epochs", "max_repeats", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), status.alias("status"))
     return selection, shares
