@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from comparing import DATA
-from weftline.operators import lines, model_calls
+from weftline.operators import lines, model_calls, ontology
 from weftline.plans import pipeline, runs
 from weftline.sources import readers, sinks
 from weftline.streaming import incremental
@@ -123,6 +123,17 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert wrong.count() == 0
     assert m.groupBy("mention_id").count().where("count > 1").count() == 0
     assert spark.read.json(out["paths"]["mentions_jsonl"]).count() == m.count()
+    augmented = spark.read.json(out["paths"]["augmented"])
+    meta = augmented.select("job_key", "extraction_metadata.*", F.size("skill_mentions").alias("n")).collect()
+    assert len(meta) == jobs.count() and {r.run_id for r in meta} == {"r1"} and {r.models.extract for r in meta} == {"stub"} and all(r.error is None for r in meta)
+    assert sum(max(0, r.n) for r in meta if r.n is not None) == m.count()
+    nested = spark.read.json(out["paths"]["title_skills_json"])
+    flat = spark.read.parquet(out["paths"]["title_skills"])
+    assert nested.select(F.sum(F.size("skills"))).first()[0] == flat.count() and nested.count() == flat.select("title").distinct().count()
+    assert spark.read.json(out["paths"]["ontology_json"]).count() == spark.read.parquet(out["paths"]["ontology"]).count()
+    pairs = [r.skill_a_jobs + r.skill_b_jobs for r in ontology.by_jobs(ontology.duplicate_pairs(spark.read.parquet(out["paths"]["ontology"]))).collect()]
+    assert pairs == sorted(pairs, reverse=True)
+    assert [s["stage"] for s in out["stages"]] == list(runs.STAGES) and all(s["errors"] == 0 and s["percent"] >= 100 for s in out["stages"][1:])
     again = pipeline.run_pipeline(spark, jobs, cfg, str(tmp_path), "r1", write_reports=False)
     assert again["totals"] == out["totals"]
 
@@ -175,6 +186,11 @@ def test_sinks(spark, tmp_path):
     assert sinks.overlay(base, spark.createDataFrame([(1, "new")], base.schema)).first().x == "new"
 
 
+def test_aliases_are_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("alias,target\n K8s ,Kubernetes\nk8s,kube\n,x\n")
+    assert [tuple(r) for r in readers.read_aliases(spark, str(tmp_path / "a.csv")).collect()] == [("k8s", "kube")]
+
+
 def test_settings_come_from_the_environment(tmp_path):
     from weftline.plans import cli
 

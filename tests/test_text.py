@@ -85,6 +85,11 @@ def test_chunks_and_split(spark):
     assert lines.split_near_middle("x") is None and lines.split_near_middle("") is None
 
 
+def test_inspection_shows_what_a_model_sees(spark):
+    labelled = lines.label(lines.segment(lines.describe(jobs(spark, ["Skills in Go\nEqual opportunity employer\n\nx"]), split=False)))
+    assert [(r.line_index, r.shown) for r in lines.inspect(labelled, 0).collect()] == [(0, True), (1, False), (2, False), (3, False)]  # the heading holds on
+
+
 def test_starts(spark):
     rows = [("aaa", "aa", [0, 1]), ("xabab", "ab", [1, 3]), ("abab", "ab", [0, 2]), ("a.b", ".", [1]), ("😀a😀", "a", [1]), ("x\\Ey", "\\E", [1]), ("abc", "", []), ("abc", "z", [])]
     df = spark.createDataFrame([r[:2] for r in rows], "t string, s string")

@@ -56,6 +56,7 @@ def parser(settings: Mapping[str, str] | None = None) -> argparse.ArgumentParser
     run.add_argument("--vocabulary", default=given.get("vocabulary"), help="terms of the offline stub, one a line")
     for switch in ("verifier", "requirement", "hardsoft"):
         run.add_argument(f"--no-{switch}", action="store_true")
+    run.add_argument("--aliases", default=given.get("aliases"), help="a table alias, target (CSV or Parquet)")
     run.add_argument("--skip-models", action="store_true")
     run.add_argument("--no-reports", action="store_true")
     run.add_argument("--rerun-from", choices=("extract", "verify", "requirement", "hardsoft"))
@@ -64,6 +65,7 @@ def parser(settings: Mapping[str, str] | None = None) -> argparse.ArgumentParser
         s = sub.add_parser(name, help=f"{name} of a mention table")
         s.add_argument("mentions")
         s.add_argument("-o", "--output", required=True)
+        s.add_argument("--aliases", help="a table alias, target (CSV or Parquet)")
     sub.choices["titles"].add_argument("--title-list")
     sub.choices["titles"].add_argument("--confidence-floor", type=float, default=titles.CONFIDENCE_FLOOR)
     status = sub.add_parser("status")
@@ -92,16 +94,16 @@ def main(argv: list[str] | None = None) -> None:
         words = tuple(x.strip() for x in open(a.vocabulary, encoding="utf-8") if x.strip()) if a.vocabulary else ()
         backend = lambda model: model_calls.HttpBackend(tuple(a.endpoint), model, a.kind, timeout=a.timeout, key=a.key) if a.endpoint else model_calls.StubBackend(words)
         small = backend(a.classifier_model)
-        cfg = Config(backend(a.extractor_model), small, small, small, endpoints=max(1, len(a.endpoint)), enable_verifier=not a.no_verifier, enable_requirement=not a.no_requirement, enable_hardsoft=not a.no_hardsoft, skip_models=a.skip_models)
+        cfg = Config(backend(a.extractor_model), small, small, small, endpoints=max(1, len(a.endpoint)), enable_verifier=not a.no_verifier, enable_requirement=not a.no_requirement, enable_hardsoft=not a.no_hardsoft, skip_models=a.skip_models, aliases=readers.read_aliases(spark, a.aliases) if a.aliases else None)
         print(json.dumps(run_pipeline(spark, jobs, cfg, a.output, a.run_id, a.rerun_from, a.retry_errors, not a.no_reports), default=str))
     elif a.command == "ontology":
-        onto = ontology.build_ontology(spark.read.parquet(a.mentions))
+        onto = ontology.build_ontology(spark.read.parquet(a.mentions), readers.read_aliases(spark, a.aliases) if a.aliases else None)
         onto.write.mode("overwrite").parquet(a.output)
         sinks.write_csv(sinks.ontology_csv(spark.read.parquet(a.output), readers.run_id_of(a.mentions)), f"{a.output}.csv")
     elif a.command == "titles":
         mentions = spark.read.parquet(a.mentions)
         table = readers.read_titles(spark, a.title_list) if a.title_list else None
-        titles.title_skills(mentions.select("job_index", "job_id", "title_raw").distinct(), mentions, table, confidence_floor=a.confidence_floor).write.mode("overwrite").parquet(a.output)
+        titles.title_skills(mentions.select("job_index", "job_id", "title_raw").distinct(), mentions, table, readers.read_aliases(spark, a.aliases) if a.aliases else None, confidence_floor=a.confidence_floor).write.mode("overwrite").parquet(a.output)
     elif a.command == "status":
         rows = Store(spark, f"{a.folder}/stages").status(a.run_id)
         print(json.dumps([r | {"left": eta(r["records"], max(r["expected"], r["records"]), r["seconds"])} for r in rows]))

@@ -31,7 +31,7 @@ class Config:
     confidence_floor: float = 0.6
     min_mention_count: int = 1
     strict_fingerprint: bool = True
-    aliases: dict | None = None
+    aliases: dict | DataFrame | None = None
 
 
 def eligible(described: DataFrame, skip_models: bool = False) -> DataFrame:

@@ -98,6 +98,13 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
     return clean.groupBy("raw_title").agg(F.max_by("normalized_title", "at").alias("normalized_title"))
 
 
+def read_aliases(spark: SparkSession, path: str) -> DataFrame:
+    """``alias, target`` of an alias table of any size, CSV or Parquet with those columns; folded, of several targets of an alias the least holds."""
+    read = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.csv(path, header=True)
+    folded = read.select(F.lower(strip(F.col("alias"))).alias("alias"), F.lower(strip(F.col("target"))).alias("target"))
+    return folded.where("alias != '' and target != ''").groupBy("alias").agg(F.min("target").alias("target"))
+
+
 def parse_calls(lines: DataFrame) -> DataFrame:
     """A call log's lines ``value`` as ``ts, model, role, wall_time, prompt_chars, resp_chars, eval_tokens, tok_s, total_duration``."""
     part = lambda i: F.regexp_extract("value", CALL_LINE, i)
