@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.llm import canonical, consistent_form, cooccurrence, distinctive_terms, encoding, markup, mixing, packing, repeated_lines, term_frequency, tokens
+from weftline.llm import canonical, consistent_form, cooccurrence, distinctive_terms, encoding, markup, mixing, packing, page_difference, repeated_lines, term_frequency, tokens
 
 LONG = "Größe und Maß – façade. " * 20_000
 
@@ -174,7 +174,7 @@ MARKED = {
     "| a | b |\n|---|---|\n| 1 | 2 |": "| a | b |\n| 1 | 2 |",
     "> quoted text": "quoted text",
     "== Role ==\n** [[a|b]] and '''c'''": "Role\n• b and c",
-    "x {{T|y=1}}<ref>n</ref> z": "x  z",
+    "x {{T|y=1}}<ref>n</ref> z": "x 1 z",
     "\\section*{Role} \\\\\n\\begin{itemize}\n\\item \\textbf{One} \\& two\n\\end{itemize}": "Role\n\n• One & two",
     "mean $c = \\sqrt{a}$ here": "mean c = \\sqrt{a} here",
 }
@@ -478,3 +478,51 @@ def test_path_grows_with_the_steps():
     short = steps[:5]
     best = max(worth(p, short) for p in itertools.product(*[["", *s] for s in short]))
     assert worth(encoding.viterbi(short), short) == pytest.approx(best)
+
+
+# --- 4, the method named ---------------------------------------------------------------------------------------------------
+
+
+def test_pages_lose_what_their_neighbours_have_too(spark):
+    menu = "Home | Jobs | About"
+    foot = "© Example Ltd\nShare this page"
+    page = lambda body: f"{menu}\n\n{body}\n{foot}"
+    rows = [("a", "/jobs/1", page("Painter\nApply now"), "x"), ("a", "/jobs/2", page("Baker\nApply now"), "x"), ("a", "/news/1", page("Opening"), "x"), ("b", "/jobs/1", page("Painter"), "x"), (None, "/", page("n"), "x"), ("a", "/none", None, "x"), ("a", None, "", "x"), ("a", "/jobs/3", page("Baker\nApply now"), "x")]
+    df = spark.createDataFrame(rows + rows[:1], "host string, path string, text string, difference string")
+    got = page_difference.page_differences(df).collect()
+    assert len(got) == len(rows) + 1 and df.columns == [c for c in got[0].__fields__]
+    by = {(r.host, r.path): r.difference for r in got}
+    assert by["a", "/jobs/1"].split() == ["Painter"] and by["a", "/jobs/2"].split() == ["Baker"] == by["a", "/jobs/3"].split()
+    assert by["a", "/news/1"].split() == ["Opening"]
+    assert by["b", "/jobs/1"] == page("Painter") and by[None, "/"] == page("n") and by["a", "/none"] is None and by["a", None] == ""
+    assert page_difference.page_differences(df.limit(0)).count() == 0
+
+
+def test_common_lines_are_a_longest_common_subsequence():
+    rng = random.Random(8)
+
+    def length(a, b):
+        grid = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                grid[i + 1][j + 1] = grid[i][j] + 1 if x == y else max(grid[i][j + 1], grid[i + 1][j])
+        return grid[-1][-1]
+
+    for _ in range(500):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 14))] for _ in "ab")
+        places = sorted(page_difference.common_lines(a, b))
+        rest = iter(b)
+        assert len(places) == length(a, b) and all(a[i] in rest for i in places)
+    many = [str(rng.random()) for _ in range(3000)]
+    assert len(page_difference.common_lines(many, many[::2])) == 1500
+
+
+def test_templates_and_names():
+    assert markup.read_markup("Ask {{name}} or {{lang|de|Amt}} now, '''soon'''")[0] == "Ask name or de Amt now, soon"
+    assert markup.read_markup("call __init__ or __main__ first") == ("call __init__ or __main__ first", [], markup.read_markup("call __init__ or __main__ first")[2])
+    assert markup.read_markup("this is __urgent__ work")[0] == "this is urgent work"
+
+
+def test_invisible_characters_beyond_format(spark):
+    df = spark.createDataFrame([("a͏b",), ("xㅤy",), ("ᅟz",), ("qﾠ",)], "v string")
+    assert [r.consistent for r in consistent_form.consistent_form(df, "v").collect()] == ["ab", "xy", "z", "q"]

@@ -8,7 +8,7 @@ The form, in this order:
 
 1. every compatibility character becomes its plain counterpart (what NFKC does; DuckDB itself has only NFC),
 2. every space separator becomes U+0020,
-3. every format character (category Cf) is removed,
+3. every format character (category Cf), and every other one without a sign (joiners of graphemes, fillers, inherent vowels), is removed,
 4. base letters and combining accents are composed (NFC),
 5. in a word that mixes Latin letters with look-alikes of another script, the look-alikes become Latin letters; where the
    word also has letters of that script that look like no Latin one, and all its Latin letters have a counterpart there,
@@ -46,6 +46,10 @@ LOOK_ALIKES = {
 }
 
 
+# Invisible characters that Unicode doesn't count as format characters.
+INVISIBLE = r"\x{34F}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{3164}\x{FFA0}"
+
+
 @functools.cache
 def compatibility() -> tuple[dict[str, str], dict[str, str]]:
     """Characters whose compatibility form is one character, and those that expand or vanish; from Python's Unicode data."""
@@ -86,7 +90,7 @@ def form_steps() -> list[tuple[str, str]]:
     steps = [
         ("a1", f"CASE WHEN regexp_matches(v, '{char_class(single)}') THEN translate(v, {quoted(''.join(single))}, {quoted(''.join(single.values()))}) ELSE v END"),
         ("a2", f"CASE WHEN regexp_matches(a1, '{char_class(several)}') THEN array_to_string(list_transform(string_split(a1, ''), lambda c: coalesce({expand}[c], c)), '') ELSE a1 END"),
-        ("a3", r"CASE WHEN regexp_matches(a2, '\p{Cf}') THEN regexp_replace(a2, '\p{Cf}', '', 'g') ELSE a2 END"),
+        ("a3", rf"CASE WHEN regexp_matches(a2, '[\p{{Cf}}{INVISIBLE}]') THEN regexp_replace(a2, '[\p{{Cf}}{INVISIBLE}]', '', 'g') ELSE a2 END"),
         ("a4", "nfc_normalize(a3)"),
     ]
     last = "a4"

@@ -1,11 +1,11 @@
 """Problem 4: HTML, Markdown, wiki and LaTeX residue becomes clean text that keeps its structure.
 
-The method named for this problem (pages paired by nearest URL path within a host, lines common to both deleted) can't
-give the result asked for: the tables have no URLs or pages, and markup isn't what two pages share. It is replaced by
-parsing: each text is read by the four grammars, which record what they removed and what the removed marks meant.
+The method named for this problem (pages paired by nearest URL path within a host, lines common to both deleted) is the operator
+of ``page_difference``; it can't give the result asked for, as markup isn't what two pages share: the README has its figures on these tables.
+For the problem's queries it is replaced by parsing: each text is read by the four grammars, which record what they removed and what the removed marks meant.
 
-A filter of the JVM's regular expressions, a superset of all marks, keeps texts without any suspicious sign in the scan's
-stage; only the rest goes, in Arrow batches, through the parser. There is no shuffle.
+A filter of the JVM's regular expressions, a superset of all marks, flags the texts with a suspicious sign; only those
+are parsed, in Arrow batches of one pass over the table. There is no shuffle.
 
 Structure in the result: a heading is a line of its own, a list item a line behind a bullet or its number, code keeps its
 lines and indentation, a formula its TeX source without the delimiters; ``blocks`` names the kind, level and text of each.
@@ -21,7 +21,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import require
@@ -49,7 +49,9 @@ FENCE = re.compile(r"^[ \t]*(```+|~~~+)[ \t]*[\w+-]*[ \t]*$")
 QUOTE = re.compile(r"^[ \t]*>[ \t]*(?=[^\s\d=<>])")
 TABLE_RULE = re.compile(r"^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|?[ \t]*$")
 MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\(([^()\s]*)(?:[ \t]+\"[^\"\n]*\")?\)")
-BOLD = re.compile(r"(?<![*\w])\*\*(?=\S)([^*\n]+?)(?<=\S)\*\*(?!\*)|(?<!\w)__(?=\S)([^_\n]+?)(?<=\S)__(?!\w)")
+# Names that the Python language writes between double underscores; they are no emphasis.
+DUNDER = "init main name repr str call len iter next enter exit new del eq hash getitem setitem dict doc file all version slots class".split()
+BOLD = re.compile(r"(?<![*\w])\*\*(?=\S)([^*\n]+?)(?<=\S)\*\*(?!\*)|(?<!\w)__(?!(?:" + "|".join(DUNDER) + r")__)(?=\S)([^_\n]+?)(?<=\S)__(?!\w)")
 ITALIC = re.compile(r"(?<![*\w\\])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![*\w])|(?<![\w\\])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?!\w)")
 STRIKE = re.compile(r"~~(?=\S)([^~\n]+?)(?<=\S)~~")
 CODE = re.compile(r"(?<!`)(`+)(?!`)([^`\n]+?)\1(?!`)")
@@ -95,6 +97,12 @@ _KNOWN = frozenset(TAGS)
 _BLOCK_TAGS = frozenset("p div tr table section article header footer blockquote hr dl dt dd form main aside nav body html head title address figure tbody thead".split())
 
 
+def template(m: re.Match) -> str:
+    """A template's text: its name where it has no arguments, else their values."""
+    name, *arguments = m[0][2:-2].split("|")
+    return " ".join(a.split("=", 1)[-1].strip() for a in arguments) if arguments else name.strip()
+
+
 class _Reader:
     """One text on its way through the grammars."""
 
@@ -227,7 +235,7 @@ class _Reader:
         self.sub("wiki", WIKI_TAGS, "")
         while True:  # templates nest
             before = self.text
-            self.sub("wiki", WIKI_TEMPLATE, "")
+            self.sub("wiki", WIKI_TEMPLATE, template)
             if before == self.text:
                 break
         self.sub("wiki", _CATEGORY, "")
@@ -334,33 +342,39 @@ def read_markup(text: str | None) -> tuple[str | None, list[str], list[dict]]:
     return clean, sorted(r.kinds), blocks
 
 
-def clean_markup(df: DataFrame, column: str, out: str = "clean_text") -> DataFrame:
-    """``df`` with ``out``, ``<out>_kinds`` (grammars found, empty if none) and ``<out>_blocks``; other columns pass through."""
-    require(df, column)
+def _parsed(df: DataFrame, column: str, out: str, suspicious: Column) -> DataFrame:
+    """``clean_markup``, of the rows that are ``suspicious``; the others' texts come out as they are."""
     kinds, blocks = f"{out}_kinds", f"{out}_blocks"
     rest = [c for c in df.columns if c not in (out, kinds, blocks)]
     named = [F.col(f"`{c}`") for c in rest]
-    suspicious = F.coalesce(F.col(f"`{column}`").rlike(SUSPECT), F.lit(False))
-    suspects = df.where(suspicious).select(*named, F.col(f"`{column}`").alias(out), F.array().cast("array<string>").alias(kinds), F.array().cast(BLOCKS).alias(blocks))
-    plain = df.where(~suspicious).select(*named, F.col(f"`{column}`").alias(out), F.array().cast("array<string>").alias(kinds), F.array().cast(BLOCKS).alias(blocks))
+    empty = [F.array().cast("array<string>").alias(kinds), F.array().cast(BLOCKS).alias(blocks)]
+    flagged = df.select(*named, F.col(f"`{column}`").alias(out), *empty, F.coalesce(suspicious, F.lit(False)).alias("_suspicious"))
+    shaped = flagged.drop("_suspicious").schema
+    at = len(rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [read_markup(x) for x in b.column(len(rest)).to_pylist()]
-            kind = [b.schema.field(len(rest) + i).type for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], *[pa.array([g[i] for g in got], kind[i]) for i in range(3)]], names=b.schema.names)
+            types = [b.schema.field(at + i).type for i in range(3)]
+            got = [read_markup(t.as_py()) if flag else (t, [], []) for t, flag in zip(b.column(at), b.column(at + 3).to_pylist())]
+            texts = pa.array([t.as_py() if isinstance(t, pa.Scalar) else t for t, _, _ in got], types[0])
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], texts, *[pa.array([g[i] for g in got], types[i]) for i in (1, 2)]], names=b.schema.names[: at + 3])
 
-    return plain.unionByName(suspects.mapInArrow(run, suspects.schema))
+    return flagged.mapInArrow(run, shaped)
+
+
+def clean_markup(df: DataFrame, column: str, out: str = "clean_text") -> DataFrame:
+    """``df`` with ``out``, ``<out>_kinds`` (grammars found, empty if none) and ``<out>_blocks``; other columns pass through. Texts without marks have no blocks."""
+    require(df, column)
+    return _parsed(df, column, out, F.col(f"`{column}`").rlike(SUSPECT))
 
 
 def clean_descriptions(descriptions: DataFrame) -> DataFrame:
-    """``job_index, field, clean_text, kinds`` of both description fields, distinct rows of the table once."""
-    rows = descriptions.select("job_index", "description_raw", "description_normalized").distinct()
-    both = rows.select("job_index", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("description_raw", "description_normalized")])).alias("e")).select("job_index", "e.field", "e.text")
+    """``job_index, field, clean_text, kinds, blocks`` of both description fields; a row of the table gives a row each."""
+    both = descriptions.select("job_index", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("description_raw", "description_normalized")])).alias("e")).select("job_index", "e.field", "e.text")
     return clean_markup(both, "text").select("job_index", "field", "clean_text", F.col("clean_text_kinds").alias("kinds"), F.col("clean_text_blocks").alias("blocks"))
 
 
 def marked_up(descriptions: DataFrame) -> DataFrame:
     """Distinct ``job_index`` of the postings whose description_raw holds markup."""
-    suspects = descriptions.select("job_index", "description_raw")
-    return clean_markup(suspects, "description_raw").where(F.size("clean_text_kinds") > 0).select("job_index").distinct()
+    suspects = descriptions.select("job_index", "description_raw").where(F.col("description_raw").rlike(SUSPECT))
+    return _parsed(suspects, "description_raw", "clean_text", F.lit(True)).where(F.size("clean_text_kinds") > 0).select("job_index").distinct()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import canonical, consistent_form, cooccurrence, distinctive_terms, encoding, markup, mixing, packing, repeated_lines, term_frequency
+from weftline.llm import canonical, consistent_form, cooccurrence, distinctive_terms, encoding, markup, mixing, packing, page_difference, repeated_lines, term_frequency
 from weftline.session import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +70,13 @@ def p4_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.clean_descriptions(table(spark, d, "preprocessed_descriptions"))
 
 
+def p4_differences(spark: SparkSession, d: str) -> DataFrame:
+    """The method named: postings as pages of their site, at a path made of employer and title."""
+    path = F.concat_ws("/", F.lower("employer"), F.lower(F.coalesce("title_raw", "job_title")))
+    pages = table(spark, d, "jobs").select("job_index", F.col("source").alias("host"), path.alias("path"), F.coalesce("description_raw", "job_description").alias("text"))
+    return page_difference.page_differences(pages).select("job_index", "host", "path", "text", "difference")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return term_frequency.mention_terms(table(spark, d, "skill_mentions")).where(F.col("mark").isNotNull()).select("field", "term", "mark")
 
@@ -123,18 +132,48 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_consistent, p2_found, p2_mapped, p2_unmatched, p3_found, p3_line_counts, p3_without, p4_found, p4_clean, p5_found, p5_counts, p6_found, p6_pairs, p7_found, p7_scores, p8_packed, p8_usage, p9_selection, p9_shares, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p1_consistent, p2_found, p2_mapped, p2_unmatched, p3_found, p3_line_counts, p3_without, p4_found, p4_clean, p4_differences, p5_found, p5_counts, p6_found, p6_pairs, p7_found, p7_scores, p8_packed, p8_usage, p9_selection, p9_shares, p10_found, p10_restored)}
 
 
 def _folded(column: str) -> str:
     return f"lower(trim({column}, ' '))"
 
 
+def _plain_forms() -> dict[str, str]:
+    """Characters that the consistent form replaces by others or by none, whatever stands beside them: compatibility forms, spaces, invisible ones."""
+    out = {}
+    for c in map(chr, (i for i in range(0x80, sys.maxunicode + 1) if not 0xD800 <= i < 0xE000)):
+        plain = unicodedata.normalize("NFKC", c) if unicodedata.decomposition(c).startswith("<") else c
+        kept = [" " if unicodedata.category(x) == "Zs" else x for x in plain if unicodedata.category(x) != "Cf" and x not in INVISIBLE]
+        if "".join(kept) != c:
+            out[c] = "".join(kept)
+    return out | {"\u2011": "-"}
+
+
+# Characters without a sign of their own that Unicode doesn't count as format characters.
+INVISIBLE = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
+
+
+def _unmixed(source: str) -> str:
+    """SQL over ``source`` (v, w, i), w a run of letters or of others: Latin where it mixes Latin letters with look-alikes, or the other script where only that can be meant."""
+    for script, (theirs, latin) in consistent_form.LOOK_ALIKES.items():
+        back = {y: x for x, y in zip(theirs, latin)}
+        keys, values = "".join(back), "".join(back.values())
+        mixed = rf"regexp_matches(w, '\p{{Latin}}') AND regexp_matches(w, '[{theirs}]')"
+        owns = rf"regexp_matches(regexp_replace(w, '[{theirs}]', '', 'g'), '\p{{{script}}}') AND NOT regexp_matches(translate(w, '{keys}', ''), '\p{{Latin}}')"
+        source = f"(SELECT v, i, CASE WHEN {mixed} AND {owns} THEN translate(w, '{keys}', '{values}') WHEN {mixed} THEN translate(w, '{theirs}', '{latin}') ELSE w END AS w FROM {source})"
+    return source
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL, written from the problem statements; operators that SQL can't state are tested by brute force instead."""
     fields = "SELECT 'description_raw' AS field, CAST(job_index AS VARCHAR) AS record_id, description_raw AS v FROM preprocessed_descriptions UNION ALL SELECT 'skill_span', mention_id, skill_span FROM skill_mentions"
-    form = consistent_form.form_sql("fields", "v", "field, record_id").replace("SELECT field, record_id, v AS v", "SELECT field, record_id, v", 1)
-    form_all = f"WITH fields AS ({fields}), formed AS ({form})"
+    # each character meets its plain form in a table made from Unicode data, and the characters are put together again
+    plain = ", ".join(f"({chr(39)}{c}{chr(39)}, {chr(39)}{x.replace(chr(39), chr(39) * 2)}{chr(39)})" for c, x in _plain_forms().items())
+    form_all = rf"""WITH fields AS ({fields}), pf(c, x) AS (VALUES {plain}), vs AS (SELECT DISTINCT v FROM fields WHERE regexp_matches(v, '[^\x00-\x7F]')), ch AS (SELECT v, unnest(string_split(v, '')) AS c, generate_subscripts(string_split(v, ''), 1) AS i FROM vs),
+        a AS (SELECT v, nfc_normalize(string_agg(coalesce(x, ch.c), '' ORDER BY i)) AS t FROM ch LEFT JOIN pf USING (c) GROUP BY v),
+        ws AS (SELECT v, unnest(regexp_extract_all(t, '\p{{L}}+|\P{{L}}+')) AS w, generate_subscripts(regexp_extract_all(t, '\p{{L}}+|\P{{L}}+'), 1) AS i FROM a),
+        fm AS (SELECT v, nfc_normalize(string_agg(w, '' ORDER BY i)) AS form FROM {_unmixed('ws')} GROUP BY v)"""
     letters = r"regexp_replace(lower(text), '[^\p{L}]', '', 'g')"
     lines = rf"""l AS (SELECT *, {letters} AS k, len(regexp_extract_all(text, '\p{{L}}+')) AS w FROM parsed_lines WHERE source IS NOT NULL AND text IS NOT NULL),
         n AS (SELECT source, count(DISTINCT job_index) AS n FROM l GROUP BY 1), c AS (SELECT source, k, count(DISTINCT job_index) AS c FROM l WHERE w >= 5 GROUP BY 1, 2),
@@ -158,8 +197,8 @@ def oracle_sql() -> dict[str, str]:
     prior = "n_collection * 500.0 / n_all"
     z = f"""(ln((y + {prior}) / greatest(n_record + 500.0 - y - {prior}, 1)) - ln((n_collection - y + {prior}) / greatest(n_all - n_record + 500.0 - (n_collection - y) - {prior}, 1))) / sqrt(1 / (y + {prior}) + 1 / (n_collection - y + {prior}))"""
     return {
-        "p1_found": f"{form_all} SELECT DISTINCT field, record_id FROM formed WHERE v <> form",
-        "p1_consistent": f"{form_all} SELECT DISTINCT field, record_id, form AS consistent FROM formed UNION SELECT field, record_id, v FROM fields WHERE v IS NULL OR NOT regexp_matches(v, '[^\\x00-\\x7F]')",
+        "p1_found": f"{form_all} SELECT DISTINCT field, record_id FROM fields LEFT JOIN fm USING (v) WHERE v <> coalesce(form, CASE WHEN regexp_matches(v, '[^\\x00-\\x7F]') THEN '' ELSE v END)",
+        "p1_consistent": f"{form_all} SELECT DISTINCT field, record_id, coalesce(form, CASE WHEN regexp_matches(v, '[^\\x00-\\x7F]') THEN '' ELSE v END) AS consistent FROM fields LEFT JOIN fm USING (v)",
         "p3_found": f"WITH {lines} SELECT DISTINCT line_id FROM l JOIN notice USING (source, k) WHERE w >= 5",
         "p3_line_counts": f"WITH {lines}, {recurring} SELECT source, k AS letters, n_clusters, n_postings, n_days, source_clusters, source_postings FROM rec",
         "p3_without": rf"WITH {lines}, {recurring} SELECT DISTINCT line_id, job_index, source, text, line_index FROM (SELECT p.*, {letters} AS k, len(regexp_extract_all(text, '\p{{L}}+')) AS w FROM parsed_lines p) q WHERE NOT coalesce(w >= 5 AND EXISTS (SELECT 1 FROM rec WHERE rec.source = q.source AND rec.k = q.k), false)",
