@@ -3,13 +3,15 @@
 Every document of a source is used in as many complete epochs as the source's budget holds, at most ``max_repeats``; the rest
 of the budget is filled by a weighted sample without replacement (Efraimidis and Spirakis): each document draws the key
 ``-ln(u) / weight``, u from a hash of its id and the seed, weight from its quality; documents are taken in ascending order of
-keys until their tokens reach the rest. A long document that would exceed it is passed over, and the gap it leaves is filled by
-the next ones that fit, round after round, until no document left fits the gap of its source.
+keys until their tokens reach the rest. A document that would exceed it is passed over, and so on to the last key, so that in the end
+no document left fits the gap of its source.
 
 The prefix sum is distributed: a key falls into a bucket by its logarithm, ``PER_OCTAVE`` buckets to a factor of two. As keys are
 exponential, a bucket holds at most ln(2) / e / PER_OCTAVE of its source (about 1 in 8,000) whatever the weights. The sums per
 source and bucket are combined map-side, and their running sum tells for every bucket but one per source whether it is in or
-out. Only that boundary bucket is sorted. A source with a third of all rows is spread over its buckets.
+out. Only that boundary bucket is sorted. A source with a third of all rows is spread over its buckets. What the prefix leaves is a gap
+smaller than the document that ended it. Only documents that fit can go into it, and of those of one size s only the first gap / s by key: gap * (ln gap + 1) documents at
+most, however many there are, which one task per source takes or passes over in order.
 
 Total size: the tokens of all documents of the listed sources, unless given. Documents without tokens or without a listed
 source are not selected. Targets that need more repeats than allowed end as 'capped'; the report has actual shares and what is missing in tokens.
@@ -18,8 +20,7 @@ A source's tokens never exceed its budget. As no other source makes up for what
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from weftline.session import cut
 
 PER_OCTAVE = 2048
 TOLERANCE = 0.02
+SALTS = 64
 
 
 def quality(text: Column) -> Column:
@@ -61,6 +63,26 @@ def _prefix(docs: DataFrame) -> DataFrame:
     return joined.where("inside").unionByName(boundary).select("doc_id", "source", "n_tokens")
 
 
+def _filled(docs: DataFrame) -> DataFrame:
+    """The documents that go into the gap ``rest`` of their source, each taken in ascending order of keys if it still fits."""
+    may = docs.where(F.col("n_tokens") <= F.col("rest")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    most = F.floor(F.col("rest") / F.col("n_tokens"))
+    for group in (("source", "n_tokens", "salt"), ("source", "n_tokens")):  # one size of one source may be very frequent
+        may = may.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy("key", "doc_id"))).where(F.col("_n") <= most).drop("_n")
+
+    def take(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("key", "ascending"), ("doc_id", "ascending")])
+        rest, places = group.column("rest")[0].as_py(), []
+        for i, n in enumerate(group.column("n_tokens").to_pylist()):
+            if n <= rest:
+                places.append(i)
+                rest -= n
+        return group.take(pa.array(places, pa.int64())).select(["doc_id", "source", "n_tokens"])
+
+    columns = may.select("doc_id", "source", "n_tokens", "key", "rest")
+    return columns.groupBy("source").applyInArrow(take, columns.select("doc_id", "source", "n_tokens").schema)
+
+
 def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
     """(selection, shares).
 
@@ -85,17 +107,12 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     rest = F.when(F.col("epochs") < F.col("max_repeats"), F.col("target_tokens") - F.col("epochs") * F.col("available_tokens")).otherwise(0)
     plan = plan.withColumn("rest", F.greatest(rest, F.lit(0)).cast("bigint")).select("source", "target_share", "max_repeats", "available_tokens", "target_tokens", "epochs", "rest")
     plan = cut(plan)  # a row per source; all that follows reads it many times
-    left, gap, taken = docs, plan.where("rest > 0").select("source", "rest"), []
-    while True:
-        fits = left.join(gap, "source").where(F.col("n_tokens") <= F.col("rest"))
-        now = cut(_prefix(fits))
-        if now.isEmpty():  # no document left fits the gap of its source
-            break
-        taken.append(now)
-        used = now.groupBy("source").agg(F.sum("n_tokens").alias("used"))
-        gap = cut(gap.join(used, "source").select("source", (F.col("rest") - F.col("used")).alias("rest")).where("rest > 0"))
-        left = cut(fits.drop("rest").join(gap, "source", "left_semi").join(now.select("doc_id"), "doc_id", "left_anti"))
-    extra = reduce(DataFrame.unionByName, taken, docs.select("doc_id", "source", "n_tokens").limit(0))
+    goal = plan.where("rest > 0").select("source", "rest")
+    first = cut(_prefix(docs.join(goal, "source").where(F.col("n_tokens") <= F.col("rest"))))
+    used = first.groupBy("source").agg(F.sum("n_tokens").alias("used"))
+    gap = cut(goal.join(used, "source", "left").select("source", (F.col("rest") - F.coalesce("used", F.lit(0))).alias("rest")).where("rest > 0"))
+    left = docs.join(gap, "source").where(F.col("n_tokens") <= F.col("rest")).join(first.select("doc_id"), "doc_id", "left_anti")
+    extra = first.unionByName(_filled(left))
     whole = docs.join(plan.where("epochs > 0").select("source", "epochs"), "source").select("doc_id", "source", "n_tokens", F.col("epochs").alias("copies"))
     both = whole.unionByName(extra.select("doc_id", "source", "n_tokens", F.lit(1).alias("copies")))
     selection = both.groupBy("doc_id", "source", "n_tokens").agg(F.sum("copies").cast("int").alias("copies"))
