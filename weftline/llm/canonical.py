@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import require
-from weftline.session import cut
+from weftline.session import cut, spread
 
-SHARD_ENTRIES, BLOCK_VALUES = 20_000, 4_000
+SHARD_ENTRIES, BLOCK_VALUES = 20_000, 2_000
 WORD_BITS = 63  # longer windows have automata of unbounded integers
 
 # A default of usual abbreviations that are no prefix of their word, or a very short one; others are the parameter ``abbreviations``.
@@ -222,7 +222,8 @@ def match_values(values: DataFrame, entries: DataFrame, abbreviations: dict[str,
         return pa.table({"list": some.column("list"), "value": some.column("value"), "matches": pa.array(found, kind)})
 
     keys = ("list", "block", "shard")
-    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, f"list string, value string, matches {MATCHES}")
+    # few bytes but much work: the groups stay spread
+    parts = spread(left, *keys).groupBy(*keys).cogroup(spread(right, *keys).groupBy(*keys)).applyInArrow(run, f"list string, value string, matches {MATCHES}")
     merged = parts.groupBy("list", "value").agg(F.flatten(F.collect_list("matches")).alias("matches"))
     ranked = F.array_max(F.transform("matches", lambda m: F.struct((m.covered - 3 * m.errors).alias("score"), (-m.errors).alias("few"), (-m.ref_id).alias("low"))))
     return merged.select("list", "value", "matches", F.coalesce(-ranked.low, F.lit(-1)).cast("bigint").alias("ref_id"))
