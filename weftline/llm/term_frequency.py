@@ -24,10 +24,7 @@ MAX_SHARE = 0.08
 
 
 def pairs_of(df: DataFrame, fields: dict[str, str], record: str) -> DataFrame:
-    """Long ``field, term, record, n``; terms folded, empty ones and rows without a record left out.
-
-    ``n`` are a row's repetitions within one map task: copies are combined before anything is moved.
-    """
+    """Long ``field, term, record``, a row for each field of a row that has a term; terms folded, empty ones and rows without a record left out."""
     require(df, record, *fields.values())
     entries = F.array(*[F.struct(F.lit(name).alias("field"), fold(F.col(f"`{c}`")).alias("term")) for name, c in fields.items()])
     return df.where(F.col(f"`{record}`").isNotNull()).select(F.explode(entries).alias("e"), F.col(f"`{record}`").alias("record")).select("e.field", "e.term", "record").where(F.col("term").isNotNull())
