@@ -54,6 +54,52 @@ def test_quality(spark):
     assert got[2].status == "complete" and got[2].features.skillish_line_count == 20
 
 
+# Lines pinned by hand: what the SQL of the queries can't show, as it takes its patterns from the same values.
+PINNED_LABELS = {
+    "We are an equal opportunity employer.": "likely_legal",
+    "Reasonable accommodation is available on request": "likely_legal",
+    "Veteran status and gender identity are protected": "likely_legal",
+    "Health insurance, dental and vision": "likely_benefits",
+    "Unlimited vacation and a gym membership": "likely_benefits",
+    "paid time off " + "x" * 300: "uncertain",
+    "No phone calls, please": "likely_boilerplate",
+    "Submit your resume today": "likely_boilerplate",
+    "A fast-paced place with a passionate team": "likely_marketing",
+    "A world-class place for SQL": "uncertain",
+    "5 years of bookkeeping": "skills_relevant",
+    "Experience required: welding": "skills_relevant",
+    "Hands-on person wanted": "skills_relevant",
+    "Bachelor or master": "skills_relevant",
+    "Working with AB testing": "skills_relevant",
+    "The office is in Porto": "uncertain",
+}
+PINNED_SECTIONS = {
+    "Requirements": "requirements",
+    "Required Qualifications:": "requirements",
+    "Nice to have": "preferred",
+    "Preferred qualifications: Rust": "preferred",
+    "Skills and Experience": "qualifications",
+    "Qualifications: a degree": "qualifications",
+    "Key responsibilities:": "responsibilities",
+    "Responsibilities: lead": "responsibilities",
+    "About the role": "about",
+    "Perks": "benefits",
+    "Diversity at our firm": "legal",
+    "Education: BSc": "education",
+    "Position summary": "overview",
+    "What we require, the qualification part:": "qualifications",
+    "We list requirements below": None,
+    "Summary of the plan": None,
+}
+
+
+def test_pinned_lines(spark):
+    rows = spark.createDataFrame([(x,) for x in {**PINNED_LABELS, **PINNED_SECTIONS}], "x string")
+    got = {r.x: (r.label, r.section) for r in rows.select("x", T.line_label(T.strip(F.col("x")), F.lit("body")).alias("label"), T.section_header(T.strip(F.col("x"))).alias("section")).collect()}
+    assert {x: got[x][0] for x in PINNED_LABELS} == PINNED_LABELS
+    assert {x: got[x][1] for x in PINNED_SECTIONS} == PINNED_SECTIONS
+
+
 def test_segmentation_is_linear_in_meaning(spark):
     texts = ["Requirements:\na\nBenefits:\nb\n", "\n\nx", "no heading", "é😀\nEducation:\n" + "\n".join("y" * i for i in range(300))]
     got = {}
