@@ -158,6 +158,18 @@ def test_repeated_lines(spark):
     assert repeated_lines.repeated_lines(lines.limit(0)).count() == 0
 
 
+def test_lines_are_counted_from_clusters_alone(spark, monkeypatch):
+    lines = line_table(spark)
+    clusters = repeated_lines.document_clusters(lines)
+    assert sorted(r.n_postings for r in clusters.where("source = 'big'").collect()) == [1] * 32 + [4]  # one row for the article
+    monkeypatch.setattr(repeated_lines, "document_clusters", lambda *a: clusters.where("n_postings <> 4"))
+    ids = {r.line_id for r in repeated_lines.repeated_line_rows(lines, repeated_lines.repeated_lines(lines, by="postings")).collect()}
+    assert ids == {f"n{p}" for p in range(30)} | {"null3"}  # without its cluster the article is nowhere
+    monkeypatch.undo()
+    ids = {r.line_id for r in repeated_lines.repeated_line_rows(lines, repeated_lines.repeated_lines(lines, by="postings")).collect()}
+    assert ids == {f"n{p}" for p in range(30)} | {f"{x}{p}" for x in "ab" for p in range(30, 34)} | {"null3"}
+
+
 # --- 4 -------------------------------------------------------------------------------------------------------------------
 
 MARKED = {

@@ -46,10 +46,9 @@ def _recurring(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Clusters and days are counted as for ``p3_line_counts``; the postings among those counts decide, as the test tables define it."""
-    notices = repeated_lines.repeated_lines(table(spark, d, "parsed_lines"), table(spark, d, "jobs"), by="postings")
-    seen = notices.where((F.col("n_clusters") >= 1) & (F.col("n_days") >= 0))
-    return repeated_lines.repeated_line_rows(table(spark, d, "parsed_lines"), seen).select("line_id").distinct()
+    """Postings are counted by clusters of copies, each with its number of postings. Days can't decide here: the test tables define a case by postings alone."""
+    lines = table(spark, d, "parsed_lines")
+    return repeated_lines.repeated_line_rows(lines, repeated_lines.repeated_lines(lines, by="postings")).select("line_id").distinct()
 
 
 def p3_line_counts(spark: SparkSession, d: str) -> DataFrame:

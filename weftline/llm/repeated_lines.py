@@ -5,13 +5,14 @@ collapsed: a line counts once per document cluster, however often the cluster's
 
 * ``"posting"``: the rows of one job_index are one document (a posting crawled again is a copy of itself);
 * ``"text"``: postings of a source whose sets of lines are the same are one cluster as well, so an article republished
-  under many ids weighs as one. The set's fingerprint is the XOR of 128 bits per distinct line, a combinable aggregate.
+  under many ids weighs as one. They are grouped by the sorted keys themselves.
 
 Per line and source come the number of clusters, of postings and, if dates are given, of publication days; a notice
-recurs over all three, a republished article over one cluster.
+recurs over all three, a republished article over one cluster. All three are counted from the clusters alone, each with its
+number of postings and its days: the lines of copies are counted once, however many the copies are.
 
-Only 128-bit keys are shuffled, never text. Lines are brought together by posting once, copies combined before; clusters and days are counted from there in two
-aggregates, distinct (line, cluster) and (line, day), whose sums are combined map-side, so that neither a source
+Only 128-bit keys are shuffled, never text. Lines are brought together by posting once, copies combined before, and postings by their lines once; a cluster's
+days are as many as the calendar has at most. Sums over clusters and distinct (line, day) are combined map-side, so that neither a source
 with a third of all rows nor a notice on a third of all postings makes one large task or one large buffer. At least a share ``min_share`` of a
 source's postings must hold a line, so a source has at most 1 / min_share times its mean number of distinct lines per posting
 of them; the join back is left to adaptive execution, which broadcasts or splits by measured sizes.
@@ -41,32 +42,38 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\p{L}+"))
 
 
-def line_counts(lines: DataFrame, dates: DataFrame | None = None, cluster: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``source, h1, h2, n_clusters, n_postings, n_days, source_clusters, source_postings`` of every line of enough words.
+def document_clusters(lines: DataFrame, dates: DataFrame | None = None, cluster: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``source, all, n_postings, days``: every cluster once, with its lines of enough words (sorted keys), the number of its postings and their distinct days (null without ``dates``).
 
-    ``dates``: ``job_index, posted_at``; without it n_days is null. A posting's day is its earliest.
+    ``dates``: ``job_index, posted_at``. A posting's day is its earliest.
     """
     if cluster not in ("posting", "text"):
         raise ValueError("cluster is 'posting' or 'text'")
     require(lines, "source", "job_index", "text")
-    keyed = lines.where(F.col("source").isNotNull() & F.col("job_index").isNotNull()).select("source", "job_index", *line_key(F.col("text")), (word_count(F.col("text")) >= min_words).alias("long"))
-    line, posting = ["source", "h1", "h2"], ["source", "job_index"]
-    # one group per posting, copies of its rows combined map-side: its lines are bounded by its text, and its set's fingerprint needs no further shuffle
-    lines_of = keyed.groupBy(*posting).agg(F.collect_set(F.struct("h1", "h2", F.coalesce("long", F.lit(False)).alias("long"))).alias("all"))
-    held = lines_of.select(*posting, F.explode(F.array(F.filter("all", lambda x: x["long"]))).alias("all"))
-    xor = lambda h: F.aggregate("all", F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseXOR(x[h]))
-    sets = held.select(*posting, "all", F.xxhash64(F.when(F.size("all") > 0, xor("h1")), F.when(F.size("all") > 0, xor("h2"))).alias("set"))
-    own = F.col("set") if cluster == "text" else F.xxhash64("job_index")
-    of_source = sets.select("source", own.alias("cluster")).groupBy("source", "cluster").agg(F.count("*").alias("n")).groupBy("source").agg(F.sum("n").alias("source_postings"), F.count("*").alias("source_clusters"))
-    if dates is not None:
-        days = dates.where(F.col("job_index").isNotNull()).groupBy("job_index").agg(F.to_date(F.min("posted_at")).alias("day"))
-        dated = sets.join(days, "job_index", "left")
-    else:
-        dated = sets.withColumn("day", F.lit(None).cast("date"))
-    kept = dated.select("source", own.alias("cluster"), "day", F.explode("all").alias("l")).select("source", "l.h1", "l.h2", "cluster", "day")
-    zero = F.lit(0).cast("bigint")
-    by_cluster = kept.groupBy(*line, "cluster").agg(F.count("*").alias("n_postings")).select(*line, F.lit(1).cast("bigint").alias("n_clusters"), "n_postings", zero.alias("n_days"))
-    by_day = kept.where(F.col("day").isNotNull()).groupBy(*line, "day").agg(F.lit(1).cast("bigint").alias("n_days")).select(*line, zero.alias("n_clusters"), zero.alias("n_postings"), "n_days")
+    kept = lines.where(F.col("source").isNotNull() & F.col("job_index").isNotNull() & F.col("text").isNotNull())
+    keyed = kept.select("source", "job_index", *line_key(F.col("text")), (word_count(F.col("text")) >= min_words).alias("long"))
+    # one group per posting, copies of its rows combined map-side: its lines are bounded by its text, and postings without a long line stay
+    postings = keyed.groupBy("source", "job_index").agg(F.sort_array(F.collect_set(F.when(F.col("long"), F.struct("h1", "h2")))).alias("all"))
+    own = ["source", "all"] if cluster == "text" else ["source", "all", "job_index"]
+    if dates is None:
+        return postings.groupBy(*own).agg(F.count("*").alias("n_postings")).select("source", "all", "n_postings", F.lit(None).cast("array<date>").alias("days"))
+    days = dates.where(F.col("job_index").isNotNull()).groupBy("job_index").agg(F.to_date(F.min("posted_at")).alias("day"))
+    return postings.join(days, "job_index", "left").groupBy(*own).agg(F.count("*").alias("n_postings"), F.collect_set("day").alias("days")).select("source", "all", "n_postings", "days")
+
+
+def line_counts(lines: DataFrame, dates: DataFrame | None = None, cluster: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``source, h1, h2, n_clusters, n_postings, n_days, source_clusters, source_postings`` of every line of enough words.
+
+    Only clusters are counted: each of a line's clusters adds one cluster, its postings and its days. ``dates``: ``job_index, posted_at``; without it n_days is null.
+    """
+    found = document_clusters(lines, dates, cluster, min_words)
+    line = ["source", "h1", "h2"]
+    of_source = found.groupBy("source").agg(F.sum("n_postings").alias("source_postings"), F.count("*").alias("source_clusters"))
+    # outer, else a filter for explode would go below the clusters and they would be made twice
+    held = found.select("source", F.explode_outer("all").alias("l"), "n_postings", "days").where(F.col("l").isNotNull()).select("source", "l.h1", "l.h2", "n_postings", "days")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    by_cluster = held.select(*line, one.alias("n_clusters"), "n_postings", zero.alias("n_days"))
+    by_day = held.select(*line, F.explode("days").alias("day")).distinct().select(*line, zero.alias("n_clusters"), zero.alias("n_postings"), one.alias("n_days"))
     both = by_cluster if dates is None else by_cluster.unionByName(by_day)
     counts = both.groupBy(*line).agg(*[F.sum(c).alias(c) for c in ("n_clusters", "n_postings", "n_days")])
     n_days = F.col("n_days") if dates is not None else F.lit(None).cast("bigint")
