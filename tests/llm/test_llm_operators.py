@@ -305,6 +305,32 @@ def test_posting_terms(spark):
     assert distinctive_terms.posting_terms(mentions.limit(0), jobs.limit(0)).count() == 0
 
 
+def test_a_low_score_loses_no_case(spark):
+    """A term that a large posting has three times and another one has thousands of times."""
+    m = [(f"a{i}", 1, "t") for i in range(3)] + [(f"b{i}", 1, f"u{i}") for i in range(3000)] + [(f"c{i}", 2, "t") for i in range(3000)]
+    mentions = spark.createDataFrame(m, "mention_id string, job_index bigint, normalized_candidate string")
+    scores = distinctive_terms.posting_terms(mentions, spark.createDataFrame([], "job_index bigint, title_raw string"))
+    assert scores.where("record = 1 and term = 't'").first().z < -10
+    assert {tuple(r) for r in distinctive_terms.distinctive(scores).collect()} == {("normalized_candidate", j, "t") for j in (1, 2)}
+
+
+@pytest.mark.parametrize("prior_size", [0.5, 20.0, 500.0])
+def test_the_score_selects_and_loses_no_case(spark, prior_size):
+    rng = random.Random(7)
+    m = [(j, f"t{j // rng.choice([2, 3])}") for j in range(60) for _ in range(rng.choice([1, 8, 8, 60]))] + [(j, "everywhere") for j in range(500)] + [(j, f"own {j}") for j in range(500) for _ in range(5)]
+    titles = [(j, f"clerk {rng.choice(['north', 'south'])} word{chr(97 + j % 26)}{chr(97 + j // 52)}") for j in range(500)]
+    y = Counter(m)
+    n = Counter(t for _, t in y)
+    words = Counter((j, w) for j, t in titles for w in set(t.split()))
+    n_words = Counter(w for _, w in words)
+    want = {("normalized_candidate", j, t) for (j, t), k in y.items() if k >= 3 and 2 <= n[t] <= 5} | {("title_raw", j, w) for j, w in words if len(w) >= 4 and 2 <= n_words[w] <= 5}
+    mentions = spark.createDataFrame([(f"m{i}", *r) for i, r in enumerate(m)], "mention_id string, job_index bigint, normalized_candidate string")
+    scores = distinctive_terms.posting_terms(mentions, spark.createDataFrame(titles, "job_index bigint, title_raw string"), prior_size)
+    assert {tuple(r) for r in distinctive_terms.distinctive(scores).collect()} == want and len(want) > 10
+    selected = Counter(r.term for r in distinctive_terms.stressed_enough(scores).collect())
+    assert (selected["clerk"] == 500) if prior_size < 1 else (selected["clerk"] == 0 and selected["own 1"] == 1)  # by its score alone, before any count
+
+
 # --- 8 and 9 ---------------------------------------------------------------------------------------------------------------
 
 

@@ -16,29 +16,35 @@ holds a third of all rows only meets its own one-row statistics; adaptive execut
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import fold, require
 
 PRIOR_SIZE = 500.0
-Z_FLOOR = -10.0
+ROUNDING = 1e-9
+
+
+def log_odds(y: Column, n: Column, c: Column, all_: Column, prior_size: Column) -> Column:
+    """``delta`` of a term that a record of ``n`` has ``y`` times and the whole collection of ``all_`` has ``c`` times."""
+    a, rest, floor = c / all_ * prior_size, c - y, F.lit(1.0)
+    inside = F.log((y + a) / F.greatest(n + prior_size - y - a, floor))
+    outside = F.log((rest + a) / F.greatest(all_ - n + prior_size - rest - a, floor))
+    return inside - outside
 
 
 def term_scores(counts: DataFrame, prior_size: float = PRIOR_SIZE) -> DataFrame:
-    """``field, record, term, y, n_record, n_collection, n_records, z`` from distinct ``field, record, term, y`` (y > 0)."""
+    """``field, record, term, y, n_record, n_collection, n_records, z`` from distinct ``field, record, term, y`` (y > 0), and what z is made of: ``delta, n_all, prior_size`` and ``max_y``, the field's largest y."""
     terms = counts.groupBy("field", "term").agg(F.sum("y").alias("n_collection"), F.count("*").alias("n_records"))
     records = counts.groupBy("field", "record").agg(F.sum("y").alias("n_record"))
-    total = counts.groupBy("field").agg(F.sum("y").alias("n_all"))
+    total = counts.groupBy("field").agg(F.sum("y").alias("n_all"), F.max("y").alias("max_y"))
     joined = counts.join(records, ["field", "record"]).join(terms, ["field", "term"]).join(F.broadcast(total), "field")
     y, n, c, all_ = (F.col(x).cast("double") for x in ("y", "n_record", "n_collection", "n_all"))
-    a = c / all_ * prior_size
-    rest = c - y
-    floor = F.lit(1.0)
-    inside = F.log((y + a) / F.greatest(n + prior_size - y - a, floor))
-    outside = F.log((rest + a) / F.greatest(all_ - n + prior_size - rest - a, floor))
-    z = (inside - outside) / F.sqrt(1 / (y + a) + 1 / (rest + a))
-    return joined.select("field", "record", "term", "y", "n_record", "n_collection", "n_records", z.alias("z"))
+    size = F.lit(float(prior_size))
+    a = c / all_ * size
+    delta = log_odds(y, n, c, all_, size)
+    z = delta / F.sqrt(1 / (y + a) + 1 / (c - y + a))
+    return joined.select("field", "record", "term", "y", "n_record", "n_collection", "n_records", z.alias("z"), delta.alias("delta"), "n_all", size.alias("prior_size"), "max_y")
 
 
 def candidate_counts(mentions: DataFrame) -> DataFrame:
@@ -66,11 +72,21 @@ def posting_terms(mentions: DataFrame, jobs: DataFrame, prior_size: float = PRIO
     return scores.join(F.broadcast(bounds), "field")
 
 
-def distinctive(scores: DataFrame, min_mentions: int = 3, min_letters: int = 4) -> DataFrame:
-    """Distinct ``field, job_index, term`` of the scored terms that the posting stresses and few other postings have.
+def stressed_enough(scores: DataFrame, min_mentions: int = 3) -> DataFrame:
+    """The scored terms whose delta reaches that of the weakest case their record can have: ``least`` mentions of its own, and ``max_y`` in each of ``max_records`` - 1 others.
 
-    The score leaves out what a posting avoids (z below Z_FLOOR); of the rest the counts decide. A higher floor would lose cases: in small collections
-    even a term of two postings may have z below 0. At Z_FLOOR one posting would need thousands of terms, or a rare term most of the collection.
+    No case is below. While the weakest has P_out < P_in <= 1/2 for the shares (y + a) / (n + A) and (Y + a) / (N + A), delta falls as Y grows; from P_in >= P_out on it grows with y.
+    Where that doesn't hold for a record (its share is small against what the others may have, as in small collections), or the term is all but the whole collection, nothing is left out.
     """
+    n, c, all_, size = (F.col(x).cast("double") for x in ("n_record", "n_collection", "n_all", "prior_size"))
+    least = F.when(F.col("field") == "normalized_candidate", F.lit(float(min_mentions))).otherwise(1.0)
+    most = least + (F.col("max_records").cast("double") - 1) * F.col("max_y")
+    weakest = log_odds(least, n, most, all_, size)
+    proven = (weakest > 0) & (2 * (least + most / all_ * size) <= n + size) & (size >= 1) & (size * (1 - c / all_) >= 1)
+    return scores.where(~F.coalesce(proven, F.lit(False)) | (F.col("delta") >= weakest - ROUNDING))
+
+
+def distinctive(scores: DataFrame, min_mentions: int = 3, min_letters: int = 4) -> DataFrame:
+    """Distinct ``field, job_index, term`` of the scored terms that the posting stresses and few other postings have: the score selects, then the counts decide."""
     stressed = ((F.col("field") == "normalized_candidate") & (F.col("y") >= min_mentions)) | ((F.col("field") == "title_raw") & (F.length("term") >= min_letters))
-    return scores.where((F.col("z") >= Z_FLOOR) & stressed & F.col("n_records").between(2, F.col("max_records"))).select("field", F.col("record").alias("job_index"), "term").distinct()
+    return stressed_enough(scores, min_mentions).where(stressed & F.col("n_records").between(2, F.col("max_records"))).select("field", F.col("record").alias("job_index"), "term").distinct()
